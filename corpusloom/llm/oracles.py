@@ -19,27 +19,27 @@ WITH convs AS (
   SELECT conv_id, conv_id // 2 AS duo, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
 ), lasts AS (
-  SELECT *, list_max(list_transform(range(1, len(turns) + 1), i -> CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)) AS l FROM convs
+  SELECT *, list_max(list_transform(range(1, len(turns) + 1), lambda i: CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)) AS l FROM convs
 ), pairs AS (
   SELECT a.conv_id, a.turns[1:a.l] AS chosen, list_append(a.turns[1:a.l - 1], b.turns[b.l]) AS rejected
   FROM lasts a JOIN lasts b ON a.duo = b.duo AND a.conv_id <> b.conv_id WHERE a.l > 0 AND b.l > 0
 ), prefixes AS (
-  SELECT *, list_min(list_transform(range(0, least(len(chosen), len(rejected)) + 1), i -> CASE WHEN i = least(len(chosen), len(rejected)) OR chosen[i + 1] <> rejected[i + 1] THEN i ELSE 1000000 END)) AS n FROM pairs
+  SELECT *, list_min(list_transform(range(0, least(len(chosen), len(rejected)) + 1), lambda i: CASE WHEN i = least(len(chosen), len(rejected)) OR chosen[i + 1] <> rejected[i + 1] THEN i ELSE 1000000 END)) AS n FROM pairs
 ), sides AS (
   SELECT conv_id, n, chosen[1:n] AS p, chosen[n + 1:] AS c, rejected[n + 1:] AS r FROM prefixes
 ), rendered AS (
   SELECT conv_id, n,
-    list_transform(p, t -> '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS ps,
-    list_transform(c, t -> '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS cs,
-    list_transform(r, t -> '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS rs, c, r
+    list_transform(p, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS ps,
+    list_transform(c, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS cs,
+    list_transform(r, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS rs, c, r
   FROM sides
 )
 SELECT conv_id, CAST(n AS BIGINT) AS prompt_turns,
   array_to_string(ps, '') AS prompt,
   array_to_string(cs, '') AS chosen_text,
-  array_to_string(list_filter(list_transform(range(1, len(c) + 1), i -> CASE WHEN c[i].role = 'assistant' THEN (coalesce(list_sum(list_transform(cs[1:i - 1], x -> length(x))), 0) + 13 + length(c[i].role))::BIGINT || '-' || list_sum(list_transform(cs[1:i], x -> length(x)))::BIGINT END), x -> x IS NOT NULL), ',') AS chosen_mask,
+  array_to_string(list_filter(list_transform(range(1, len(c) + 1), lambda i: CASE WHEN c[i].role = 'assistant' THEN (coalesce(list_sum(list_transform(cs[1:i - 1], lambda x: length(x))), 0) + 13 + length(c[i].role))::BIGINT || '-' || list_sum(list_transform(cs[1:i], lambda x: length(x)))::BIGINT END), lambda x: x IS NOT NULL), ',') AS chosen_mask,
   array_to_string(rs, '') AS rejected_text,
-  array_to_string(list_filter(list_transform(range(1, len(r) + 1), i -> CASE WHEN r[i].role = 'assistant' THEN (coalesce(list_sum(list_transform(rs[1:i - 1], x -> length(x))), 0) + 13 + length(r[i].role))::BIGINT || '-' || list_sum(list_transform(rs[1:i], x -> length(x)))::BIGINT END), x -> x IS NOT NULL), ',') AS rejected_mask
+  array_to_string(list_filter(list_transform(range(1, len(r) + 1), lambda i: CASE WHEN r[i].role = 'assistant' THEN (coalesce(list_sum(list_transform(rs[1:i - 1], lambda x: length(x))), 0) + 13 + length(r[i].role))::BIGINT || '-' || list_sum(list_transform(rs[1:i], lambda x: length(x)))::BIGINT END), lambda x: x IS NOT NULL), ',') AS rejected_mask
 FROM rendered
 """
 
