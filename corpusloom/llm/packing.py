@@ -11,7 +11,10 @@ long texts spread over several sequences; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,40 +22,75 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ChunkCache, cut
+from corpusloom.llm.common import cut
 
 #: White space to str.split() but not to the tokenizer's pattern.
-ODD_SPACE = frozenset("\x1c\x1d\x1e\x1f")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: The tokenizer's own splitting pattern on lower-case printable ASCII; a fixed value of its file.
+ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
-def tokenizer_encoder(path: str):
-    """text -> bytes of little-endian unsigned 32-bit ids, for tokenizers that drop white space.
+class ChunkEncoder(dict):
+    """White-space-delimited chunk -> bytes of its ids, for a BPE tokenizer that splits at white space and drops it.
 
-    Such a tokenizer treats every white-space-delimited chunk by itself, so each distinct chunk is encoded once. Texts
-    with characters that only Python takes for white space are encoded whole.
+    A chunk's ids don't depend on its neighbours, so each distinct chunk is split into words once, and each distinct
+    word is merged once. Both tables are kept in two generations: when the young one is full it becomes the old one,
+    so frequent entries stay and memory is bounded.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    cache = ChunkCache(encode, longest=64)
-
-    def ids(texts: list[str]) -> list[bytes]:
-        chunks = [None if ODD_SPACE.intersection(t) else t.split() for t in texts]
-        new = list({c for part in chunks if part for c in part if len(c) <= cache.longest and c not in cache})
-        if len(cache) + len(new) > cache.room:
-            cache.clear()
-            new = list({c for part in chunks if part for c in part if len(c) <= cache.longest})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for chunk, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                cache[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-        return [encode(t) if part is None else b"".join(map(cache.__getitem__, part)) for t, part in zip(texts, chunks, strict=True)]
-
-    return ids
+    def __init__(self, path: str, room: int = 400_000, longest: int = 40):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.normalize, self.split = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.merge = self.tokenizer.model.tokenize
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = "".join(sorted({t[0] for t in self.specials}))
+        self.room, self.longest, self.old, self.words = room, longest, {}, {}
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        value = self.words.get(word)
+        if value is None:
+            value = array("I", [t.id for t in self.merge(word)]).tobytes()
+            if len(self.words) >= self.room:
+                self.words.clear()
+            self.words[word] = value
+        return value
+
+    def __missing__(self, chunk: str) -> bytes:
+        value = self.old.get(chunk)
+        if value is None:
+            if len(chunk) > self.longest or any(c in chunk for c in self.marks) and any(s in chunk for s in self.specials):
+                return self.whole(chunk)
+            if chunk.isascii() and chunk.isprintable():
+                parts = ASCII_WORD.findall(chunk.lower())
+            else:
+                parts = [p for p, _ in self.split(self.normalize(chunk))]
+            value = b"".join(map(self.word, parts))
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+        return value
+
+    def ids(self, text: str) -> bytes:
+        if any(c in text for c in ODD_SPACE):
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, text.split()))
+
+
+#: Encoders of this Python worker, by path: a worker runs many tasks, and what it has learned stays.
+ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder(path: str) -> ChunkEncoder:
+    if path not in ENCODERS:
+        ENCODERS[path] = ChunkEncoder(path)
+    return ENCODERS[path]
 
 
 def pieces(path: str, size: int, end_id: int):
@@ -60,17 +98,14 @@ def pieces(path: str, size: int, end_id: int):
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids, row = tokenizer_encoder(path), 0
+        ids, row = encoder(path).ids, 0
         for pdf in batches:
             for lo in range(0, len(pdf), 256):
                 part, out = pdf.iloc[lo : lo + 256], []
                 keys = part["id"].tolist()
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                for key, raw in zip(keys, ids(texts), strict=True):
-                    raw += tail
+                for key, text in zip(keys, part["text"], strict=True):
+                    raw = (ids(text) if isinstance(text, str) else b"") + tail
                     total, view, row = len(raw) // 4, memoryview(raw), row + 1
                     for start in range(0, total, size):
                         length = min(size, total - start)
