@@ -125,7 +125,7 @@ def fuzzy_dedup(items: DataFrame, key: Column, pos_col: str, threshold: float =
     firsts = cut(rows.groupBy(F.col("__key").alias("key")).agg(F.min(pos_col).cast("long").alias("pos")))
     gone = first_come(similar_pairs(firsts, threshold))
     kept = firsts.select("pos").join(gone, "pos", "left_anti")
-    return rows.join(kept.select(F.col("pos").alias("__pos")), F.col(pos_col) == F.col("__pos"), "left_semi").drop("__key")
+    return rows.join(kept.select(F.col("pos").alias("__first")), F.col(pos_col) == F.col("__first"), "left_semi").drop("__key")
 
 
 def validate_dataset(items: DataFrame, kind: str, pos_col: str, format_errors: int = 0, threshold: float = 85.0) -> tuple[DataFrame, DataFrame]:

@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOCUMENT = T.StructType.fromDDL("source_id string, source_type string, content_type string, sections array<struct<title: string, text: string, metadata: map<string, string>>>")
-CHUNK = T.StructType.fromDDL("chunk_id string, source_id string, content_type string, section_title string, text string, token_count long, topics array<string>")
-ORIGIN = "source_id string, chunk_id string, content_type string"
+
+
+def _fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+TEXT = T.StringType()
+SECTION = _fields(title=TEXT, text=TEXT, metadata=T.MapType(TEXT, TEXT))
+MESSAGE = _fields(role=TEXT, content=TEXT)
+DOCUMENT = _fields(source_id=TEXT, source_type=TEXT, content_type=TEXT, sections=T.ArrayType(SECTION))
+CHUNK = _fields(chunk_id=TEXT, source_id=TEXT, content_type=TEXT, section_title=TEXT, text=TEXT, token_count=T.LongType(), topics=T.ArrayType(TEXT))
+ORIGIN = {"source_id": TEXT, "chunk_id": TEXT, "content_type": TEXT}
 RECORDS = {
-    "qa": T.StructType.fromDDL(f"instruction string, response string, {ORIGIN}"),
-    "conversations": T.StructType.fromDDL(f"messages array<struct<role: string, content: string>>, {ORIGIN}"),
-    "completions": T.StructType.fromDDL(f"prompt string, completion string, {ORIGIN}"),
-    "classification": T.StructType.fromDDL(f"text string, label string, {ORIGIN}"),
+    "qa": _fields(instruction=TEXT, response=TEXT, **ORIGIN),
+    "conversations": _fields(messages=T.ArrayType(MESSAGE), **ORIGIN),
+    "completions": _fields(prompt=TEXT, completion=TEXT, **ORIGIN),
+    "classification": _fields(text=TEXT, label=TEXT, **ORIGIN),
 }
 CORRUPT = "__corrupt"
 
@@ -46,9 +55,9 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> tuple
 
 def write_documents(sections: DataFrame, path: str) -> None:
     """Extracted documents as JSON in a folder per kind of source (`folder`)."""
-    order = F.struct("section_pos", "title", "text", "metadata")
+    order = F.struct("section_pos", "title", "text", F.map_entries("metadata").alias("metadata"))  # maps have no order
     docs = sections.groupBy("folder", "source_id", "source_type", "doc_type").agg(F.array_sort(F.collect_list(order)).alias("s"))
-    sections_ = F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["text"].alias("text"), x["metadata"].alias("metadata")))
+    sections_ = F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["text"].alias("text"), F.map_from_entries(x["metadata"]).alias("metadata")))
     docs.select("folder", "source_id", "source_type", F.col("doc_type").alias("content_type"), sections_.alias("sections")).write.mode("overwrite").partitionBy("folder").json(path)
 
 
