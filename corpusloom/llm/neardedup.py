@@ -74,13 +74,21 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def order_minhash(words: np.ndarray, samples: int, per_sample: int, block: int = 1 << 18) -> np.ndarray:
-    """One hash per sample: the per_sample smallest labelled shingles of that sample, combined in text order."""
+def _in_text_order(shingles: np.ndarray, places: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    acc = seed.copy()
+    for j in range(places.shape[1]):
+        acc = mix(acc * STEP + shingles[places[:, j]])
+    return acc
+
+
+def order_minhash(words: np.ndarray, samples: int, per_sample: int, deeper: int, block: int = 1 << 18) -> np.ndarray:
+    """(2, samples) hashes: per sample its per_sample smallest labelled shingles combined in text order, and a finer
+    one of its `deeper` smallest, which splits buckets that hold many texts."""
     shingles = labelled_shingles(words)
     n = len(shingles)
-    take = min(per_sample, n)
+    take, few = min(deeper, n), min(per_sample, n)
     seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * STEP)
-    out = np.empty(samples, dtype=np.uint64)
+    out = np.empty((2, samples), dtype=np.uint64)
     rows = max(1, block // n)
     for at in range(0, samples, rows):
         seed = seeds[at : at + rows]
@@ -88,32 +96,33 @@ def order_minhash(words: np.ndarray, samples: int, per_sample: int, block: int =
         hashed ^= hashed >> np.uint64(32)
         hashed *= MIX_B
         best = np.argpartition(hashed, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(seed), 1))
-        best.sort(axis=1)
-        acc = seed.copy()
-        for j in range(take):
-            acc = mix(acc * STEP + shingles[best[:, j]])
-        out[at : at + rows] = acc
+        first = np.take_along_axis(best, np.argsort(np.take_along_axis(hashed, best, axis=1), axis=1)[:, :few], axis=1)
+        out[0, at : at + rows] = _in_text_order(shingles, np.sort(first, axis=1), seed)
+        out[1, at : at + rows] = _in_text_order(shingles, np.sort(best, axis=1), seed)
     return out
 
 
-def sketch_rows(samples: int, per_sample: int):
+def sketch_rows(samples: int, per_sample: int, deeper: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = ChunkCache(_chunk_words)
         for pdf in batches:
             for lo in range(0, len(pdf), 512):
                 part = pdf.iloc[lo : lo + 512]
-                node, sketch, words = [], [], []
+                node, sketch, finer, words = [], [], [], []
                 for text in part["text"]:
                     text = text if isinstance(text, str) else ""
                     w = word_hashes(text, cache)
                     if len(w):
                         node.append(xxhash.xxh3_64_intdigest(w.tobytes()))
-                        sketch.append(order_minhash(w, samples, per_sample).view(np.int64))
+                        both = order_minhash(w, samples, per_sample, deeper).view(np.int64)
+                        sketch.append(both[0])
+                        finer.append(both[1])
                     else:  # no words: near only to the same raw text
                         node.append(xxhash.xxh3_64_intdigest(b"\0raw" + text.encode("utf-8", "surrogatepass")))
                         sketch.append(np.empty(0, dtype=np.int64))
+                        finer.append(np.empty(0, dtype=np.int64))
                     words.append((w >> np.uint64(32)).astype("<u4").tobytes())
-                yield pd.DataFrame({"id": part["id"].array, "node": np.array(node, dtype=np.uint64).view(np.int64), "n": [len(w) // 4 for w in words], "sketch": sketch, "words": words})
+                yield pd.DataFrame({"id": part["id"].array, "node": np.array(node, dtype=np.uint64).view(np.int64), "sketch": sketch, "finer": finer, "words": words})
 
     return run
 
@@ -179,46 +188,69 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()
 
 
-def _links(table: DataFrame, threshold: float, max_nodes: int) -> DataFrame | None:
-    """Verified links (a, b) that connect every class of `table` (node, sketch, words); None if there are none."""
-    bands = table.select("node", F.explode("sketch").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
-    members = cut(bands.join(shared, "bucket").distinct())
-    nodes = cut(members.select("node").distinct())
+def _buckets(table: DataFrame, large: int, max_keys: int) -> DataFrame:
+    """(bucket, node) of the buckets that several nodes share. A bucket of over `large` nodes is split by the finer hash.
+
+    Texts that share a frequent passage, and nothing else, fall into one large bucket where all minima lie in it; the
+    finer hash parts them, while near copies go on meeting, there and in the other samples.
+    """
+    nodes = cut(table.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("finer").alias("finer")))
+    bands = nodes.select("node", F.inline(F.arrays_zip("sketch", "finer")))
+    shared = cut(bands.groupBy("sketch").agg(F.count("*").alias("size")).filter("size > 1"))
+    hint = shared if shared.count() > max_keys else F.broadcast(shared)
+    members = bands.join(hint, "sketch").select("node", F.when(F.col("size") > large, F.xxhash64("sketch", "finer")).otherwise(F.col("sketch")).alias("bucket"))
+    members = cut(members.distinct())
+    again = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    return cut(members.join(again, "bucket"))
+
+
+def _links(table: DataFrame, threshold: float, max_nodes: int, large: int) -> DataFrame | None:
+    """Verified links (a, b) that connect every class of `table`; None if there are none.
+
+    First each node is compared with the most central node that it meets in any bucket. Then, in buckets that still
+    hold several classes, with the most central ones of the bucket, of which there are more each round. A centre that
+    has met all others is done; a bucket is closed when one class or no pair is left.
+    """
+    members = _buckets(table, large, 4 * max_nodes)
+    nodes = cut(members.groupBy("node").agg(F.sum("size").alias("weight")))
     count = nodes.count()
     if not count:
         return None
-    few = nodes if count > max_nodes else F.broadcast(nodes)
+    few = nodes.select("node") if count > max_nodes else F.broadcast(nodes.select("node"))
     words = cut(table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words")))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("weight"))
-    active = members.join(weight, "node").withColumn("comp", F.col("node"))
-    links, tested, centres = None, None, 1
+    active = cut(members.select("bucket", "node").join(nodes, "node").withColumn("comp", F.col("node")))
+    links, tested, centres = None, None, 0
     while True:
-        active = cut(active)
         open_ = active.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
         active = cut(active.join(open_, "bucket"))
         if active.limit(1).count() == 0:
             return links
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
-        centre = active.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
-        pairs = active.join(centre, "bucket").filter("comp <> centre_comp").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        if not centres:
+            best = active.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best"))
+            pairs = active.join(best, "bucket").filter("node <> best.node").groupBy("node").agg(F.max("best").alias("best"))
+            pairs = pairs.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
+        else:
+            order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
+            centre = active.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
+            pairs = active.join(centre, "bucket").filter("comp <> centre_comp").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         with_words = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
         found = cut(with_words.mapInPandas(verify(threshold), "a long, b long"))
         links = found if links is None else links.unionAll(found)
         tested = pairs if tested is None else tested.unionAll(pairs)
         comps = components(links)
-        active = active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        centres *= 8
+        if centres:
+            active = active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        active = cut(active.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        centres = max(1, centres * 8)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, max_nodes: int = 500_000) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, deeper: int = 6, large: int = 64, max_nodes: int = 500_000) -> DataFrame:
     """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text) and node."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
-    table = cut(base.mapInPandas(sketch_rows(samples, per_sample), schema))
-    links = _links(table, threshold, max_nodes)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("finer", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
+    table = cut(base.mapInPandas(sketch_rows(samples, per_sample, deeper), schema))
+    links = _links(table, threshold, max_nodes, large)
     rows = table.select("id", "node")
     if links is None:
         rows = rows.withColumns({"comp": F.col("node"), "n_links": F.lit(0).cast("long")})
