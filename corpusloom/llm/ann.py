@@ -96,6 +96,7 @@ def _block(k: int, chunk: int = 512):
 
 def _search(probed: DataFrame, indexed: DataFrame, k: int) -> DataFrame:
     names = ["t", "axis", "part"]
+    probed = probed.select(*[F.col(c).alias(c) for c in probed.columns])  # both sides may stem from one table
     return probed.groupBy(*names).cogroup(indexed.groupBy(*names)).applyInPandas(_block(k), "qkey long, key long, score double")
 
 
