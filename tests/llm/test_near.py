@@ -1,0 +1,118 @@
+import collections
+import random
+
+import numpy as np
+
+from corpusloom.llm import neardedup
+
+DOCS = "doc_id long, text string, lang string"
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(row[j + 1], new[j], row[j] + (x == y)))
+        row = new
+    return row[-1]
+
+
+def test_alignment_is_exact_within_the_threshold():
+    rng = random.Random(1)
+    for _ in range(400):
+        a = [rng.randint(0, 6) for _ in range(rng.randint(0, 40))]
+        b = list(a) if rng.random() < 0.7 else [rng.randint(0, 6) for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 8)):
+            if b and rng.random() < 0.5:
+                b.pop(rng.randrange(len(b)))
+            else:
+                b.insert(rng.randrange(len(b) + 1), rng.randint(0, 6))
+        x, y = np.array(a, dtype="u4"), np.array(b, dtype="u4")
+        assert neardedup.alike(x, y, 0.8) == (lcs(a, b) >= 0.8 * max(len(a), len(b)) - 1e-9)
+
+
+def test_shingles_are_labelled_alike():
+    words = np.arange(30, dtype=np.uint64)
+    twice = np.r_[words, words]
+    plain, doubled = neardedup.labelled_shingles(words), neardedup.labelled_shingles(twice)
+    assert set(plain.tolist()) <= set(doubled.tolist()) and len(set(doubled.tolist())) == len(doubled)
+    assert len(neardedup.labelled_shingles(words[:3])) == 1 and len(neardedup.labelled_shingles(words[:0])) == 0
+
+
+def corpus(seed=2):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(vocab) for _ in range(60)]
+    docs = []
+    for _ in range(60):
+        base = [rng.choice(vocab) for _ in range(rng.choice([40, 120, 400]))]
+        docs.append(base)
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            docs.append([rng.choice(vocab) if rng.random() < 0.03 else w for w in base])
+    for _ in range(150):  # clean texts that share a passage
+        docs.append([rng.choice(vocab) for _ in range(60)] + passage + [rng.choice(vocab) for _ in range(60)])
+    hot = [rng.choice(vocab) for _ in range(150)]
+    for _ in range(200):  # a large group of near copies
+        docs.append([rng.choice(vocab) if rng.random() < 0.02 else w for w in hot])
+    return docs
+
+
+def brute(docs, threshold=0.8):
+    parent = list(range(len(docs)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    vocab = {}
+    enc = [np.array([vocab.setdefault(w, len(vocab)) for w in d], dtype="u4") for d in docs]
+    sets = [set(zip(*[d[j:] for j in range(5)])) for d in docs]
+    for i in range(len(docs)):
+        for j in range(i):
+            if find(i) != find(j) and len(sets[i] & sets[j]) > 5 and neardedup.alike(enc[i], enc[j], threshold):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(docs))]
+
+
+def test_classes_match_brute_force(spark):
+    docs = corpus()
+    data = [(i, " ".join(d), "en") for i, d in enumerate(docs)]
+    n = len(data)
+    data += [(n + i, data[i][1].upper(), "en") for i in range(0, n, 7)]  # same words
+    df = spark.createDataFrame(data, DOCS)
+    got = {r["doc_id"]: r for r in neardedup.classes(df, large=16).collect()}
+    want = brute(docs)
+    assert {i: got[i]["class_id"] for i in range(n)} == dict(enumerate(want))
+    assert all(got[n + i]["class_id"] == want[i] for i in range(0, n, 7))
+    sizes = collections.Counter(r["class_id"] for r in got.values())
+    assert all(r["class_size"] == sizes[r["class_id"]] for r in got.values())
+    kept = neardedup.dedup(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, j) for j in range(101, 160)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(80)]
+    got = {r["node"]: r["comp"] for r in neardedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    label = {x: x for e in edges for x in e}
+    for _ in range(len(label)):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: label[x] for x in linked}
+
+
+def test_edges(spark):
+    data = [(1, None, None), (2, "", "x"), (3, "!!!", "x"), (4, "!!!", None), (5, "a b", "x"), (6, "A  b.", "x"), (None, "a b", "x"), (8, "c " * 30000, "x"), (9, "c " * 29000, "x"), (None, "lonely", "x")]
+    got = {r["doc_id"]: r["class_id"] for r in neardedup.classes(spark.createDataFrame(data, DOCS)).collect() if r["doc_id"]}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 5, 8: 8, 9: 8}
+    assert neardedup.classes(spark.createDataFrame([], DOCS)).count() == 0
+    assert neardedup.dedup(spark.createDataFrame([], DOCS)).count() == 0
+    twice = spark.createDataFrame([(1, "one two three", "a"), (1, "one two three", "b"), (1, "other text", "c"), (2, "One two three", "d")], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in neardedup.dedup(twice).collect()]
+    assert sorted(kept) == [(1, "one two three"), (1, "other text")]
+    clash = spark.createDataFrame([(1, "a b c", 1, 2)], "doc_id long, text string, node int, class_id int")
+    assert neardedup.dedup(clash).collect()[0]["class_id"] == 2
