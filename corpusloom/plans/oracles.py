@@ -297,4 +297,6 @@ WITH raw AS (
 ), cleaned AS (SELECT page_id, coalesce(nullif({strip('title')}, ''), url) AS title, {whitespace(artifacts(residue('t')))} AS text FROM plain)
 SELECT page_id, title, text FROM cleaned WHERE {meaningful('text')}
 """,
+    "stream_windowed_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS count FROM events GROUP BY ALL",
+    "stream_clean": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {whitespace(artifacts(residue('(text || ' + NL + " || ' 42 ' || " + NL + ')')))} AS t FROM documents) WHERE {meaningful('t')}",
 }

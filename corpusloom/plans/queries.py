@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,10 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions import narrative, similarity, text
 from corpusloom.operators import chunk, export, generate, narrate, profile, quality, sampling, sections
+from corpusloom.operators.lineage import cut
 from corpusloom.sources import markup, registry
 from corpusloom.sources.config import Settings
+from corpusloom.streaming import incremental
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -415,6 +418,41 @@ def html_main_text(spark, sf_dir):
     return made.select("page_id", "title", "text")
 
 
+# --- streams ---------------------------------------------------------------------------------------------------
+
+
+def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files; the pattern serves tables of one file and of a folder alike."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def _drain(stream: DataFrame, mode: str, name: str) -> DataFrame:
+    """Run a stream over what is there, into the shared checkpoint folder, and read what it wrote last."""
+    spark = stream.sparkSession
+    cut(spark.range(0))
+    base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{name}-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out" if mode == "complete" else f"{base}/out/batch={batch_id}")
+
+    stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_windowed_counts(spark, sf_dir):
+    """Events per type and day, as a stream with a watermark."""
+    events = _arriving(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = _drain(incremental.windowed_counts(events, "ts", "event_type", "1 day"), "complete", "counts")
+    return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "count")
+
+
+def stream_clean(spark, sf_dir):
+    """Documents cleaned as they arrive; row-local, so batches don't matter."""
+    docs = _arriving(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n 42 \n")).alias("text"))
+    cleaned = docs.withColumn("text", text.full_clean(F.col("text"), unicode=False)).filter(text.is_meaningful(F.col("text")))
+    return _drain(cleaned, "append", "clean").select("doc_id", "text")
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     clean_whitespace, page_artifacts, references_removed, html_residue, full_clean, normalize_unicode, meaningful_text, sentence_split, token_estimates, indel_similarity,
     heading_lines, split_by_headings, pdf_sections, effort_bands, narrate_rows, narrate_sessions, describe_table, describe_frame, chunk_prose, chunk_tabular,
@@ -422,7 +460,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     sample_head, random_sample, resume_anti, resume_then_head, registry_filter, registry_validate,
     validate_qa, validate_conversation, validate_completion, validate_classification, fuzzy_dedup, near_dup_pairs, validation_stats,
     prompt_render, parse_responses, run_model, results_summary, compare_prompts, cost_estimate, perplexity,
-    format_qa, format_conversation, format_completion, format_classification, inference_prompt, format_counts, stratified_split, split_summary, html_main_text,
+    format_qa, format_conversation, format_completion, format_classification, inference_prompt, format_counts, stratified_split, split_summary, html_main_text, stream_windowed_counts, stream_clean,
 ]
 
 

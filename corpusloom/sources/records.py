@@ -64,3 +64,21 @@ def write_documents(sections: DataFrame, path: str) -> None:
 def write_records(df: DataFrame, path: str, resume: bool = False, format: str = "json") -> None:
     """One policy for every kind: append when a run is resumed, else overwrite."""
     df.write.mode("append" if resume else "overwrite").format(format).save(path)
+
+
+def read_samples(spark: SparkSession, schema: T.StructType, lines: str | None = None, whole: str | None = None) -> DataFrame:
+    """Records of JSON-lines files and of JSON files that hold a list or one object."""
+    parts = []
+    if lines:
+        parts.append(read_jsonl(spark, lines, schema))
+    if whole:
+        parts.append(spark.read.schema(schema).json(whole, multiLine=True))
+    if not parts:
+        raise ValueError("no files given")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def file_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines per file, and their total in a row of null."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value").filter(F.trim("value") != "")
+    return lines.rollup("file").agg(F.count("*").alias("records"))
