@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +28,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if getattr(sc, "_corpusloom_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / "corpusloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, f"corpusloom/{path.relative_to(root)}")
+    sc.addPyFile(str(archive))
+    sc._corpusloom_shipped = True
