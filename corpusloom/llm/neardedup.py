@@ -171,21 +171,29 @@ def verify(threshold: float):
     return run
 
 
+def gathered(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """`df`, known to have about `rows` rows, in as many partitions as they need: a small table in hundreds of them costs
+    mostly files and task starts in every round that follows."""
+    return df.coalesce(max(12, rows // per_task + 1))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of `edges` (a, b): alternating large-star and small-star rounds until stable."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    before = None
+    rows = 2 * edges.count()
+    few = lambda df: gathered(df, rows)
+    edges, before = few(edges), None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        edges = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        low = edges.groupBy("a").agg(F.min("b").alias("m"))
-        edges = cut(edges.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+        low = few(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        edges = few(few(both.filter("b > a").join(low, "a")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+        low = few(edges.groupBy("a").agg(F.min("b").alias("m")))
+        edges = cut(few(few(edges.join(low, "a")).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()
+    return few(edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct())
 
 
 def _buckets(table: DataFrame, large: int, max_keys: int) -> DataFrame:
@@ -212,41 +220,46 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, large: int) -> Da
     has met all others is done; a bucket is closed when one class or no pair is left.
     """
     members = _buckets(table, large, 4 * max_nodes)
-    nodes = cut(members.groupBy("node").agg(F.sum("size").alias("weight")))
-    count = nodes.count()
-    if not count:
+    rows = members.count()
+    if not rows:
         return None
+    small = lambda df: gathered(df, rows)
+    members = small(members)
+    nodes = cut(small(members.groupBy("node").agg(F.sum("size").alias("weight"))))
+    count = nodes.count()
     few = nodes.select("node") if count > max_nodes else F.broadcast(nodes.select("node"))
-    words = cut(table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words")))
-    active = cut(members.select("bucket", "node").join(nodes, "node").withColumn("comp", F.col("node")))
+    words = cut(gathered(table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words")), count, 5_000))
+    active = cut(small(members.select("bucket", "node").join(nodes, "node")).withColumn("comp", F.col("node")))
     links, tested, centres = None, None, 0
     while True:
-        open_ = active.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
-        active = cut(active.join(open_, "bucket"))
+        open_ = small(active.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket"))
+        active = cut(small(active.join(open_, "bucket")))
         if active.limit(1).count() == 0:
             return links
         if not centres:
-            best = active.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best"))
-            pairs = active.join(best, "bucket").filter("node <> best.node").groupBy("node").agg(F.max("best").alias("best"))
-            pairs = pairs.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
+            best = small(active.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best")))
+            pairs = small(active.join(best, "bucket")).filter("node <> best.node").groupBy("node").agg(F.max("best").alias("best"))
+            pairs = small(pairs).select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
         else:
             order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
-            centre = active.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
-            pairs = active.join(centre, "bucket").filter("comp <> centre_comp").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+            centre = small(active).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
+            centre = small(centre)
+            pairs = small(active.join(centre, "bucket")).filter("comp <> centre_comp").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        pairs = cut(small(pairs if tested is None else small(pairs).join(tested, ["a", "b"], "left_anti")))
         with_words = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-        found = cut(with_words.mapInPandas(verify(threshold), "a long, b long"))
+        found = cut(small(with_words.mapInPandas(verify(threshold), "a long, b long")))
         links = found if links is None else links.unionAll(found)
         tested = pairs if tested is None else tested.unionAll(pairs)
         comps = components(links)
         if centres:
-            active = active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
-        active = cut(active.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        centres = max(1, centres * 8)
+            active = small(active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti"))
+        active = cut(small(active.drop("comp").join(comps, "node", "left")).withColumn("comp", F.coalesce("comp", "node")))
+        centres = max(8, centres * 8)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, deeper: int = 6, large: int = 64, max_nodes: int = 500_000) -> DataFrame:
-    """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text) and node."""
+    """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text), node and comp,
+    the class's least node."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("finer", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
     table = cut(base.mapInPandas(sketch_rows(samples, per_sample, deeper), schema))
@@ -260,7 +273,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         rows = rows.join(info, "node", "left").select("id", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     rows = cut(rows)
     summary = rows.groupBy("comp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return rows.join(summary, "comp").select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "node")
+    return rows.join(summary, "comp").select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "node", "comp")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
@@ -291,7 +304,7 @@ def _dedup_repeated_ids(docs: DataFrame, found: DataFrame, id_col: str, text_col
             yield pd.Series(np.array(out, dtype=np.uint64).view(np.int64))
 
     key = F.pandas_udf(node_of, "long")
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias(temp("node"))).withColumnRenamed("class_id", temp("id"))
+    keep = found.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy("comp").agg(F.first("class_id").alias(temp("id")), F.min("node").alias(temp("node"))).drop("comp")
     rows = docs.withColumn(temp("key"), key(F.col(text_col)))
     met = rows.join(keep, F.col(id_col).eqNullSafe(F.col(temp("id"))) & (F.col(temp("key")) == F.col(temp("node"))))
     return met.dropDuplicates([id_col, temp("key")])

@@ -46,7 +46,7 @@ def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardedup.classes(table(spark, sf_dir, "documents")).drop("node")
+    return neardedup.classes(table(spark, sf_dir, "documents")).drop("node", "comp")
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
