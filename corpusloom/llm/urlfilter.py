@@ -135,7 +135,9 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked",
     What the driver collects is bounded by features x bins sums a pass, and by `max_rows` suffixes.
     """
     rows = labelled.filter(F.col(label_col).isNotNull()).select(F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.col(label_col).cast("int").alias("y"))
-    rows = rows.withColumn("r", F.xxhash64("url", "y")).orderBy("r", "url").limit(max_rows)
+    # about twice as many as wanted are drawn by hash first, so that the ordered limit doesn't grow with the tasks
+    share = min(1.0, (2 * max_rows + 100) / max(1, rows.count()))
+    rows = rows.withColumn("r", F.xxhash64("url", "y")).filter(F.pmod("r", F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("r", "url").limit(max_rows)
     plain = lexical(F.col("url"))
     rows = cut(rows.select("y", suffix(host(F.col("url"))).alias("suffix"), *[c.alias(f) for f, c in plain.items()]))
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
