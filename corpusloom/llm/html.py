@@ -31,6 +31,8 @@ FURNITURE = frozenset(
     "ad ads advert adverts advertisement adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
     "pagination popup promo promoted related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Of these, the words that make even an article furniture.
+COMMENTS = frozenset(["comment", "comments", "commentlist", "disqus", "replies", "reply"])
 CLOSES_P = BLOCK - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend"}
 #: Start tags that end an open element of these names, up to the given parents.
 ENDS = {
@@ -47,10 +49,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+        self.tag, self.parent, self.skip, self.soft = tag, parent, skip, False
         self.items: list[Node | str] = []
 
 
@@ -58,7 +60,7 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside_article: boo
     """A page header is furniture; the header of an article holds its title."""
     if tag in SKIP or tag == "header" and not inside_article:
         return True
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "main"):
         return False
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -69,8 +71,12 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside_article: boo
             return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        if name in ("class", "id") and any(w.lower() in FURNITURE for w in WORDS.findall(value)):
-            return not (inside_article and {w.lower() for w in WORDS.findall(value)} & FURNITURE <= {"header"})
+        if name in ("class", "id"):
+            words = {w.lower() for w in WORDS.findall(value)} & FURNITURE
+            if tag == "article":
+                words &= COMMENTS
+            if words and not (inside_article and words <= {"header"}):
+                return True
     return False
 
 
@@ -79,9 +85,17 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False)
         self.depth: dict[str, int] = {}
+        self.found = False
 
     def push(self, tag: str, skip: bool) -> None:
         node = Node(tag, self.at, skip)
+        node.soft = skip and tag not in SKIP and tag != "header"
+        if tag in ("article", "main") and not skip and not self.found:
+            self.found = True
+            above = self.at  # a class name on a frame around the article doesn't make it furniture
+            while above is not None:
+                above.skip = above.skip and not above.soft
+                above = above.parent
         self.at.items.append(node)
         self.at = node
         self.depth[tag] = self.depth.get(tag, 0) + 1

@@ -23,6 +23,8 @@ MORE = "A second paragraph follows &amp; goes on for quite a while, so that the
         (f"<body><div class=cookie-notice>We use cookies</div><main><div><p>{BODY}</p></div><aside>side</aside><form>name <input></form><p>{MORE}</p></main></body>", f"{BODY} {MORE.replace('&amp;', '&')}"),
         (f"<article><header><h1>Title</h1></header><p>{BODY}</p><ul><li>one<li>two</ul></article>", f"Title {BODY} one two"),
         ("<article><p>a  b\n\tc&nbsp;d&#233;</p></article>", "a b c dé"),
+        (f"<body><div class='layout with-sidebar'><div class=sidebar>s</div><article><p>{BODY}</p></article><section class=comments><article class=comment><p>{BODY}</p></article></section></div></body>", BODY),
+        (f"<body><div class=comments><article class='comment reply'><p>{BODY}</p></article></div><div><p>{MORE}</p></div></body>", MORE.replace("&amp;", "&")),
         ("<script>var x = '</p>';</script><style>p{}</style><article>x</article>", "x"),
     ],
 )
