@@ -33,6 +33,8 @@ from pyspark.sql.window import Window
 from corpusloom.llm.common import ChunkCache, cut, temp
 
 SHINGLE = 5
+#: Centres of a bucket in the first round that has several.
+FIRST_CENTRES = 8
 WORD = re.compile(r"\w+")
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -74,55 +76,46 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def _in_text_order(shingles: np.ndarray, places: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    acc = seed.copy()
-    for j in range(places.shape[1]):
-        acc = mix(acc * STEP + shingles[places[:, j]])
-    return acc
-
-
-def order_minhash(words: np.ndarray, samples: int, per_sample: int, deeper: int, block: int = 1 << 18) -> np.ndarray:
-    """(2, samples) hashes: per sample its per_sample smallest labelled shingles combined in text order, and a finer
-    one of its `deeper` smallest, which splits buckets that hold many texts."""
+def order_minhash(words: np.ndarray, samples: np.ndarray, smallest: int, block: int = 1 << 18) -> np.ndarray:
+    """One hash per sample number: its `smallest` smallest labelled shingles, combined in text order."""
     shingles = labelled_shingles(words)
     n = len(shingles)
-    take, few = min(deeper, n), min(per_sample, n)
-    seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * STEP)
-    out = np.empty((2, samples), dtype=np.uint64)
+    take = min(smallest, n)
+    seeds = mix((samples.astype(np.uint64) + np.uint64(1)) * STEP)
+    out = np.empty(len(samples), dtype=np.uint64)
     rows = max(1, block // n)
-    for at in range(0, samples, rows):
+    for at in range(0, len(samples), rows):
         seed = seeds[at : at + rows]
         hashed = (shingles[None, :] ^ seed[:, None]) * MIX_A
         hashed ^= hashed >> np.uint64(32)
         hashed *= MIX_B
         best = np.argpartition(hashed, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(seed), 1))
-        first = np.take_along_axis(best, np.argsort(np.take_along_axis(hashed, best, axis=1), axis=1)[:, :few], axis=1)
-        out[0, at : at + rows] = _in_text_order(shingles, np.sort(first, axis=1), seed)
-        out[1, at : at + rows] = _in_text_order(shingles, np.sort(best, axis=1), seed)
+        best.sort(axis=1)
+        acc = seed.copy()
+        for j in range(take):
+            acc = mix(acc * STEP + shingles[best[:, j]])
+        out[at : at + rows] = acc
     return out
 
 
-def sketch_rows(samples: int, per_sample: int, deeper: int):
+def sketch_rows(samples: int, per_sample: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = ChunkCache(_chunk_words)
         for pdf in batches:
             for lo in range(0, len(pdf), 512):
                 part = pdf.iloc[lo : lo + 512]
-                node, sketch, finer, words = [], [], [], []
+                node, sketch, words = [], [], []
                 for text in part["text"]:
                     text = text if isinstance(text, str) else ""
                     w = word_hashes(text, cache)
                     if len(w):
                         node.append(xxhash.xxh3_64_intdigest(w.tobytes()))
-                        both = order_minhash(w, samples, per_sample, deeper).view(np.int64)
-                        sketch.append(both[0])
-                        finer.append(both[1])
+                        sketch.append(order_minhash(w, np.arange(samples), per_sample).view(np.int64))
                     else:  # no words: near only to the same raw text
                         node.append(xxhash.xxh3_64_intdigest(b"\0raw" + text.encode("utf-8", "surrogatepass")))
                         sketch.append(np.empty(0, dtype=np.int64))
-                        finer.append(np.empty(0, dtype=np.int64))
                     words.append((w >> np.uint64(32)).astype("<u4").tobytes())
-                yield pd.DataFrame({"id": part["id"].array, "node": np.array(node, dtype=np.uint64).view(np.int64), "sketch": sketch, "finer": finer, "words": words})
+                yield pd.DataFrame({"id": part["id"].array, "node": np.array(node, dtype=np.uint64).view(np.int64), "sketch": sketch, "words": words})
 
     return run
 
@@ -196,40 +189,79 @@ def components(edges: DataFrame) -> DataFrame:
     return few(edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct())
 
 
-def _buckets(table: DataFrame, large: int, max_keys: int) -> DataFrame:
-    """(bucket, node) of the buckets that several nodes share. A bucket of over `large` nodes is split by the finer hash.
+def deeper_rows(smallest: int):
+    """(node, samples, buckets, words) -> (node, sample, bucket): each bucket split by a sample of more shingles."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for node, samples, buckets, words in zip(pdf["node"], pdf["samples"], pdf["buckets"], pdf["words"], strict=True):
+                w = np.frombuffer(words, dtype="<u4").astype(np.uint64)
+                finer = mix(np.asarray(buckets, dtype=np.int64).view(np.uint64) * STEP + order_minhash(w, np.asarray(samples), smallest))
+                yield pd.DataFrame({"node": node, "sample": samples, "bucket": finer.view(np.int64)})
+
+    return run
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """`members` (bucket, ...) of buckets that several share, with their size."""
+    rows = members.count()
+    sizes = gathered(members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), rows)
+    return cut(gathered(members.join(sizes, "bucket"), rows))
 
-    Texts that share a frequent passage, and nothing else, fall into one large bucket where all minima lie in it; the
-    finer hash parts them, while near copies go on meeting, there and in the other samples.
+
+def _members(table: DataFrame, max_nodes: int, per_sample: int, large: int, deepest: int = 1 << 10) -> tuple[DataFrame, DataFrame] | None:
+    """(bucket, node, size, split) of shared buckets, and the words of their nodes.
+
+    A bucket of over `large` nodes is also split by samples of twice as many shingles, and so on. Texts that share a
+    frequent passage and nothing else fill large buckets where all minima lie in it, and part soon; near copies go on
+    meeting, in these and in other samples. Rows stay in proportion to nodes, whatever a group's size.
     """
-    nodes = cut(table.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("finer").alias("finer")))
-    bands = nodes.select("node", F.inline(F.arrays_zip("sketch", "finer")))
-    shared = cut(bands.groupBy("sketch").agg(F.count("*").alias("size")).filter("size > 1"))
-    hint = shared if shared.count() > max_keys else F.broadcast(shared)
-    members = bands.join(hint, "sketch").select("node", F.when(F.col("size") > large, F.xxhash64("sketch", "finer")).otherwise(F.col("sketch")).alias("bucket"))
-    members = cut(members.distinct())
-    again = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    return cut(members.join(again, "bucket"))
+    nodes = table.groupBy("node").agg(F.first("sketch").alias("sketch"))
+    bands = cut(nodes).select("node", F.posexplode("sketch").alias("sample", "bucket"))
+    counts = cut(bands.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
+    hint = counts if counts.count() > 4 * max_nodes else F.broadcast(counts)
+    members = cut(bands.join(hint, "bucket"))
+    chosen = cut(gathered(members.select("node").distinct(), members.count()))
+    count = chosen.count()
+    if not count:
+        return None
+    few = chosen if count > max_nodes else F.broadcast(chosen)
+    words = cut(gathered(table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words")), count, 5_000))
+    smallest, done = per_sample, []
+    while True:
+        hot = members.filter(F.col("size") > large)
+        rows = hot.count()
+        smallest *= 2
+        last = not rows or smallest > deepest
+        done.append(members.withColumn("split", F.lit(False) if last else F.col("size") > large))
+        if last:
+            break
+        each = gathered(hot.groupBy("node").agg(F.collect_list("sample").alias("samples"), F.collect_list("bucket").alias("buckets")), rows)  # `samples` entries at most
+        finer = gathered(each.join(words, "node"), rows).mapInPandas(deeper_rows(smallest), "node long, sample int, bucket long")
+        members = _shared(cut(finer))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select("bucket", "node", "size", "split"), words
 
 
-def _links(table: DataFrame, threshold: float, max_nodes: int, large: int) -> DataFrame | None:
+def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int, large: int, best: int = 4) -> DataFrame | None:
     """Verified links (a, b) that connect every class of `table`; None if there are none.
 
-    First each node is compared with the most central node that it meets in any bucket. Then, in buckets that still
-    hold several classes, with the most central ones of the bucket, of which there are more each round. A centre that
-    has met all others is done; a bucket is closed when one class or no pair is left.
+    First each node is compared with the `best` most central of the nodes that lead its buckets. Then, in buckets that
+    still hold several classes, with the most central ones of the bucket, of which there are more each round. Buckets
+    that were split take part until here, so that a large group of near copies gathers around its leaders; their finer
+    parts go on. A centre that has met all others is done; a bucket is closed when one class or no pair is left.
     """
-    members = _buckets(table, large, 4 * max_nodes)
-    rows = members.count()
-    if not rows:
+    found = _members(table, max_nodes, per_sample, large)
+    if found is None:
         return None
+    members, words = found
+    rows = members.count()
     small = lambda df: gathered(df, rows)
     members = small(members)
     nodes = cut(small(members.groupBy("node").agg(F.sum("size").alias("weight"))))
-    count = nodes.count()
-    few = nodes.select("node") if count > max_nodes else F.broadcast(nodes.select("node"))
-    words = cut(gathered(table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words")), count, 5_000))
-    active = cut(small(members.select("bucket", "node").join(nodes, "node")).withColumn("comp", F.col("node")))
+    active = cut(small(members.select("bucket", "node", "split").join(nodes, "node")).withColumn("comp", F.col("node")))
     links, tested, centres = None, None, 0
     while True:
         open_ = small(active.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket"))
@@ -237,9 +269,10 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, large: int) -> Da
         if active.limit(1).count() == 0:
             return links
         if not centres:
-            best = small(active.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best")))
-            pairs = small(active.join(best, "bucket")).filter("node <> best.node").groupBy("node").agg(F.max("best").alias("best"))
-            pairs = small(pairs).select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
+            lead = small(active.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("lead")))
+            met = small(active.join(lead, "bucket")).filter("node <> lead.node").groupBy("node").agg(F.collect_set("lead").alias("leads"))  # a node's buckets at most
+            pairs = small(met).select("node", F.explode(F.slice(F.sort_array("leads", asc=False), 1, best)).alias("lead"))
+            pairs = pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
         else:
             order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
             centre = small(active).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
@@ -252,18 +285,19 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, large: int) -> Da
         tested = pairs if tested is None else tested.unionAll(pairs)
         comps = components(links)
         if centres:
+            active = small(active.filter("NOT split")) if centres == FIRST_CENTRES else active
             active = small(active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti"))
         active = cut(small(active.drop("comp").join(comps, "node", "left")).withColumn("comp", F.coalesce("comp", "node")))
-        centres = max(8, centres * 8)
+        centres = max(FIRST_CENTRES, centres * 8)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, deeper: int = 6, large: int = 64, max_nodes: int = 500_000) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, large: int = 16, max_nodes: int = 500_000) -> DataFrame:
     """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text), node and comp,
     the class's least node."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("finer", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
-    table = cut(base.mapInPandas(sketch_rows(samples, per_sample, deeper), schema))
-    links = _links(table, threshold, max_nodes, large)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
+    table = cut(base.mapInPandas(sketch_rows(samples, per_sample), schema))
+    links = _links(table, threshold, max_nodes, per_sample, large)
     rows = table.select("id", "node")
     if links is None:
         rows = rows.withColumns({"comp": F.col("node"), "n_links": F.lit(0).cast("long")})
