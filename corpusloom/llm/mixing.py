@@ -1,14 +1,15 @@
 """Mixing sources to target weights by Poisson replication.
 
 Every source gets a mean repetition rate: its target share of the epoch over its rows. A document's count is the
-inverse Poisson distribution at a uniform number hashed from seed, id and text, so a rerun makes the same epoch and a
-new seed another one. Documents are repeated by their count and ordered by a hash over all copies.
+inverse Poisson distribution at a uniform number hashed from seed and id, so a rerun makes the same epoch and a new
+seed another one. Documents are repeated by their count, and a hash over all copies deals them to partitions and orders
+them there.
 
 Rates above `step` are split into equal parts with a hash each, whose counts add up to the same distribution; this
 keeps exp(-rate) far from underflow and the inversion short.
 
 Defined results: null sources form a source of their own; a source without a weight gets `other`; null texts count as
-empty; rows that repeat id and text draw the same count; an empty table gives an empty result.
+empty; rows that repeat an id draw the same count; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import free, temp
+from corpusloom.llm.common import cut, free, temp
+
+
+#: Rates of sources that are sent to every executor at most.
+MOST_SOURCES = 100_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -61,7 +66,8 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
 
     An added column whose name `docs` has already gets underscores at its end.
     """
-    table = rates(docs, source_col, weights, other, total, power)
+    table = cut(rates(docs, source_col, weights, other, total, power))
+    table = table if table.count() > MOST_SOURCES else F.broadcast(table)  # else texts move once more, by source
     met = docs.join(table, F.col(source_col).eqNullSafe(F.col(temp("source"))), "left")
     rate = F.coalesce(F.col(temp("rate")), F.lit(0.0))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
@@ -74,4 +80,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     added = {"mean_rate": F.col(temp("rate")), "copies": F.col(temp("copies")), "copy": F.col(temp("copy")), "shuffle_key": order}
     names = {name: free(name, docs.columns) for name in added}
     out = made.select(*[F.col(f"`{c}`") for c in docs.columns], *[c.alias(names[name]) for name, c in added.items()])
-    return out.sort(names["shuffle_key"]) if shuffle else out
+    if not shuffle:
+        return out
+    # the key is uniform, so hashing a part of it deals rows out evenly, without a sampling pass over the texts
+    return out.repartition(F.substring(names["shuffle_key"], 1, 6)).sortWithinPartitions(names["shuffle_key"])
