@@ -35,6 +35,8 @@ from corpusloom.llm.common import ChunkCache, cut, temp
 SHINGLE = 5
 #: Centres of a bucket in the first round that has several.
 FIRST_CENTRES = 8
+#: Ids of dropped rows that are sent to every executor at most.
+MOST_SENT = 1_000_000
 WORD = re.compile(r"\w+")
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -316,7 +318,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **set
     Of rows that repeat that id within the class one stays, the one with the smallest text.
     """
     found = classes(docs, id_col, text_col, **settings)
-    gone = found.filter(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias(temp("id"))).distinct()
+    gone = cut(found.filter(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias(temp("id"))).distinct())
+    gone = gone if gone.count() > MOST_SENT else F.broadcast(gone)  # else texts move once
     again = cut(found.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1").select(F.col(id_col).alias(temp("id"))))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     if again.limit(1).count() == 0:
