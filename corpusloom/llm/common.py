@@ -49,7 +49,7 @@ def free(name: str, taken: list[str]) -> str:
 class ChunkCache(dict):
     """White-space-delimited chunk -> bytes. Missing chunks are encoded by `encode`; `room` bounds the memory."""
 
-    def __init__(self, encode, room: int = 400_000, longest: int = 48):
+    def __init__(self, encode, room: int = 150_000, longest: int = 48):
         super().__init__()
         self.encode, self.room, self.longest = encode, room, longest
 

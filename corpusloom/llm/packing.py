@@ -38,7 +38,7 @@ class ChunkEncoder(dict):
     so frequent entries stay and memory is bounded.
     """
 
-    def __init__(self, path: str, room: int = 400_000, longest: int = 40):
+    def __init__(self, path: str, room: int = 200_000, longest: int = 40):
         from tokenizers import Tokenizer
 
         super().__init__()
