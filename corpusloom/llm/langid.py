@@ -147,8 +147,14 @@ def sample(docs: DataFrame, labelled: Column, id_col: str, text_col: str, lang_c
     """
     text = F.col(text_col)
     spread = F.array(*[F.substring(text, F.lit(1) + (F.length(text) * i / per_doc).cast("int"), F.lit(window)) for i in range(per_doc)])
+    rows = docs.filter(labelled & F.col(lang_col).isNotNull() & text.isNotNull())
+    known = rows.count()
+    # about twice as many as wanted are drawn by hash first, so that what reaches the driver doesn't grow with the tasks
+    share = min(1.0, (2 * max_docs + 100) / max(1, known))
+    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
     rows = (
-        docs.filter(labelled & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}"))
+        rows.filter(drawn)
+        .filter(text.rlike(r"\p{L}"))
         .select(F.xxhash64(F.col(id_col).cast("string"), text).alias("r"), F.array_distinct(spread).alias("w"), F.col(lang_col).alias("y"))
         .orderBy("r", "y", "w")
         .limit(max_docs)
