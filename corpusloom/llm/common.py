@@ -28,6 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows that a Python worker gets at once: texts may be long, and a worker keeps the memory of its largest batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS if they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII takes the byte-wise built-in; translate() leaves other letters alone."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import ChunkCache, cut, temp
+from corpusloom.llm.common import ChunkCache, cut, small_batches, temp
 
 SHINGLE = 5
 #: Centres of a bucket in the first round that has several.
@@ -296,6 +296,7 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int,
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, large: int = 16, max_nodes: int = 500_000) -> DataFrame:
     """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text), node and comp,
     the class's least node."""
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
     table = cut(base.mapInPandas(sketch_rows(samples, per_sample), schema))
