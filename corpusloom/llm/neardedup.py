@@ -8,7 +8,8 @@ inside the band that the threshold allows covers `threshold` of the longer text.
 
 Equal word sequences collapse first, so copies cost one node. Within a bucket no all-pairs list is made: members are
 compared with the most central member, then only members that are still in different classes go on, against more and
-more centres, until every pair in the bucket is in one class or compared. Links and classes stay distributed.
+more centres, until every pair in the bucket is in one class, compared, or ruled out by a bound on the words that it
+can share. Links and classes stay distributed.
 
 Defined results: a text without words (null counts as empty) is near only to the same raw text; a text of one to
 four words is one shingle; the class id is the smallest doc_id of the class (null only if all are null); rows that
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -35,6 +36,8 @@ from corpusloom.llm.common import ChunkCache, cut, small_batches, temp
 SHINGLE = 5
 #: Centres of a bucket in the first round that has several.
 FIRST_CENTRES = 8
+#: Longs of 64 word parities that a text's bound takes.
+PARITIES = 8
 #: Ids of dropped rows that are sent to every executor at most.
 MOST_SENT = 1_000_000
 WORD = re.compile(r"\w+")
@@ -58,12 +61,12 @@ def word_hashes(text: str, cache: dict) -> np.ndarray:
     return np.frombuffer(b"".join(map(cache.__getitem__, text.split())), dtype="<u8")
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
+def labelled_shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     """Hashes of five-word shingles with their occurrence number, in text order."""
     n = len(words)
     if n == 0:
         return words
-    width = min(SHINGLE, n)
+    width = min(width, n)
     out = np.full(n - width + 1, np.uint64(width))
     for j in range(width):
         out = mix(out * STEP + words[j : n - width + 1 + j])
@@ -157,6 +160,31 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return banded_common(a, b, int(longer - need) + 1) >= need
 
 
+def parities(words: np.ndarray) -> np.ndarray:
+    """PARITIES longs: by hash, bit by bit, whether an odd number of the labelled words falls there.
+
+    Each word that only one of two texts has changes one bit, so the bits that differ are at most those words.
+    """
+    at = labelled_shingles(words, 1) >> np.uint64(40)
+    odd = np.bincount((at % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def parity_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, words) -> (node, n, p0, ...): number of words and their parities."""
+    for pdf in batches:
+        words = [np.frombuffer(w, dtype="<u4").astype(np.uint64) for w in pdf["words"]]
+        bits = np.array([parities(w) for w in words]).reshape(len(words), PARITIES)
+        yield pd.DataFrame({"node": pdf["node"], "n": [len(w) for w in words]} | {f"p{i}": bits[:, i] for i in range(PARITIES)})
+
+
+def may_be_alike(threshold: float) -> Column:
+    """False only for pairs that no alignment covers to `threshold`: it leaves n + c_n - 2 * threshold * longer words
+    unmatched at most, and every parity that differs needs one."""
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"c_p{i}"))) for i in range(PARITIES)), F.lit(0))
+    return differ <= F.col("n") + F.col("c_n") - 2 * threshold * F.greatest("n", "c_n") + 1e-6
+
+
 def verify(threshold: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -212,11 +240,12 @@ def _shared(members: DataFrame) -> DataFrame:
 
 
 def _members(table: DataFrame, max_nodes: int, per_sample: int, large: int, deepest: int = 1 << 10) -> tuple[DataFrame, DataFrame] | None:
-    """(bucket, node, size, split) of shared buckets, and the words of their nodes.
+    """(bucket, node, size) of shared buckets, and the words of their nodes.
 
     A bucket of over `large` nodes is also split by samples of twice as many shingles, and so on. Texts that share a
     frequent passage and nothing else fill large buckets where all minima lie in it, and part soon; near copies go on
-    meeting, in these and in other samples. Rows stay in proportion to nodes, whatever a group's size.
+    meeting, in these and in other samples. Their centres lead the comparisons; the bucket itself stays, and with it
+    every pair.
     """
     nodes = table.groupBy("node").agg(F.first("sketch").alias("sketch"))
     bands = cut(nodes).select("node", F.posexplode("sketch").alias("sample", "bucket"))
@@ -235,7 +264,7 @@ def _members(table: DataFrame, max_nodes: int, per_sample: int, large: int, deep
         rows = hot.count()
         smallest *= 2
         last = not rows or smallest > deepest
-        done.append(members.withColumn("split", F.lit(False) if last else F.col("size") > large))
+        done.append(members)
         if last:
             break
         each = gathered(hot.groupBy("node").agg(F.collect_list("sample").alias("samples"), F.collect_list("bucket").alias("buckets")), rows)  # `samples` entries at most
@@ -244,16 +273,16 @@ def _members(table: DataFrame, max_nodes: int, per_sample: int, large: int, deep
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("bucket", "node", "size", "split"), words
+    return out.select("bucket", "node", "size"), words
 
 
 def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int, large: int, best: int = 4) -> DataFrame | None:
     """Verified links (a, b) that connect every class of `table`; None if there are none.
 
     First each node is compared with the `best` most central of the nodes that lead its buckets. Then, in buckets that
-    still hold several classes, with the most central ones of the bucket, of which there are more each round. Buckets
-    that were split take part until here, so that a large group of near copies gathers around its leaders; their finer
-    parts go on. A centre that has met all others is done; a bucket is closed when one class or no pair is left.
+    still hold several classes, with the most central ones of the bucket, of which there are more each round; pairs that
+    their word parities rule out are not made. Buckets that were split stay in too: their finer parts only let near
+    copies gather early. A centre that has met all others is done; a bucket is closed when one class or no pair is left.
     """
     found = _members(table, max_nodes, per_sample, large)
     if found is None:
@@ -263,7 +292,9 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int,
     small = lambda df: gathered(df, rows)
     members = small(members)
     nodes = cut(small(members.groupBy("node").agg(F.sum("size").alias("weight"))))
-    active = cut(small(members.select("bucket", "node", "split").join(nodes, "node")).withColumn("comp", F.col("node")))
+    active = cut(small(members.select("bucket", "node").join(nodes, "node")).withColumn("comp", F.col("node")))
+    bounds = ["n", *[f"p{i}" for i in range(PARITIES)]]
+    schema = ", ".join(f"{c} long" for c in ["node", *bounds])
     links, tested, centres = None, None, 0
     while True:
         open_ = small(active.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket"))
@@ -277,9 +308,9 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int,
             pairs = pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
         else:
             order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
-            centre = small(active).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
+            centre = small(active).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= centres).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"), *[F.col(c).alias(f"c_{c}") for c in bounds])
             centre = small(centre)
-            pairs = small(active.join(centre, "bucket")).filter("comp <> centre_comp").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+            pairs = small(active.join(centre, (active["bucket"] == centre["bucket"]) & (F.col("comp") != F.col("centre_comp")) & may_be_alike(threshold))).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = cut(small(pairs if tested is None else small(pairs).join(tested, ["a", "b"], "left_anti")))
         with_words = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
         found = cut(small(with_words.mapInPandas(verify(threshold), "a long, b long")))
@@ -287,9 +318,9 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int,
         tested = pairs if tested is None else tested.unionAll(pairs)
         comps = components(links)
         if centres:
-            active = small(active.filter("NOT split")) if centres == FIRST_CENTRES else active
             active = small(active.join(centre.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti"))
-        active = cut(small(active.drop("comp").join(comps, "node", "left")).withColumn("comp", F.coalesce("comp", "node")))
+        active = small(active.drop("comp").join(comps, "node", "left")).withColumn("comp", F.coalesce("comp", "node"))
+        active = cut(active if centres else small(active.join(words.mapInPandas(parity_rows, schema), "node")))
         centres = max(FIRST_CENTRES, centres * 8)
 
 

@@ -93,6 +93,28 @@ def test_classes_match_brute_force(spark):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
 
 
+def test_pairs_of_a_large_bucket_are_all_compared(spark):
+    rng = random.Random(4)
+    passage, docs = [f"p{i}" for i in range(120)], []
+    for i in range(150):  # pairs that differ in most words but the passage that all texts share
+        own = [f"a{i}x{j}" for j in range(40)]
+        changed = set(rng.sample(range(40), 24))
+        docs += [passage + own, passage + [f"b{i}x{j}" if j in changed else w for j, w in enumerate(own)]]
+    df = spark.createDataFrame([(i, " ".join(d), "en") for i, d in enumerate(docs)], DOCS)
+    got = {r["doc_id"]: r["class_id"] for r in neardedup.classes(df).collect()}
+    assert got == {i: i // 2 * 2 for i in range(len(docs))}
+
+
+def test_parities_rule_out_no_pair_that_is_alike():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [rng.randint(0, 200) for _ in range(rng.randint(1, 120))]
+        b = [rng.randint(0, 200) if rng.random() < 0.2 else w for w in a if rng.random() < 0.95]
+        x, y = (np.array(w, dtype="u8") for w in (a, b))
+        differ = sum(int(v).bit_count() for v in (neardedup.parities(x) ^ neardedup.parities(y)).view("u8"))
+        assert differ <= len(a) + len(b) - 2 * lcs(a, b)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, j) for j in range(101, 160)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(80)]
