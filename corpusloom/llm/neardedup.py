@@ -115,7 +115,8 @@ def sketch_rows(samples: int, per_sample: int):
                     w = word_hashes(text, cache)
                     if len(w):
                         node.append(xxhash.xxh3_64_intdigest(w.tobytes()))
-                        sketch.append(order_minhash(w, np.arange(samples), per_sample).view(np.int64))
+                        # of the words as stored, so that deeper samples extend these
+                        sketch.append(order_minhash(w >> np.uint64(32), np.arange(samples), per_sample).view(np.int64))
                     else:  # no words: near only to the same raw text
                         node.append(xxhash.xxh3_64_intdigest(b"\0raw" + text.encode("utf-8", "surrogatepass")))
                         sketch.append(np.empty(0, dtype=np.int64))
