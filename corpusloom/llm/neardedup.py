@@ -1,6 +1,6 @@
 """Near-duplicate classes by Order MinHash (OMH) with verification by banded alignment.
 
-Texts are lower-cased word sequences; the k-mers are five-word shingles, each labelled with its occurrence number, so
+Texts are lower-cased word sequences; the k-mers are three-word shingles, each labelled with its occurrence number, so
 that repeats count. One sample hashes all labelled shingles with its own seed, takes the `per_sample` smallest and
 keeps them in text order; texts that agree in one sample become candidates. Order matters, so the sketch follows edit
 similarity and not only the overlap of sets. A candidate pair is a link when the longest common word subsequence
@@ -12,7 +12,7 @@ more centres, until every pair in the bucket is in one class, compared, or ruled
 can share. Links and classes stay distributed.
 
 Defined results: a text without words (null counts as empty) is near only to the same raw text; a text of one to
-four words is one shingle; the class id is the smallest doc_id of the class (null only if all are null); rows that
+three words is one shingle; the class id is the smallest doc_id of the class (null only if all are null); rows that
 repeat a doc_id each get their row; an empty table gives an empty result.
 
 Node ids are 64-bit hashes of the word sequence: n distinct texts meet by chance with odds of about n^2 / 2^65.
@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from corpusloom.llm.common import ChunkCache, cut, small_batches, temp
 
-SHINGLE = 5
+SHINGLE = 3
 #: Centres of a bucket in the first round that has several.
 FIRST_CENTRES = 8
 #: Longs of 64 word parities that a text's bound takes.
@@ -62,7 +62,7 @@ def word_hashes(text: str, cache: dict) -> np.ndarray:
 
 
 def labelled_shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
-    """Hashes of five-word shingles with their occurrence number, in text order."""
+    """Hashes of the shingles with their occurrence number, in text order."""
     n = len(words)
     if n == 0:
         return words
@@ -325,7 +325,7 @@ def _links(table: DataFrame, threshold: float, max_nodes: int, per_sample: int,
         centres = max(FIRST_CENTRES, centres * 8)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 3, large: int = 16, max_nodes: int = 500_000) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, samples: int = 40, per_sample: int = 2, large: int = 16, max_nodes: int = 500_000) -> DataFrame:
     """One row per row of `docs`: id, class_id, class_size (rows), n_links (links found for its text), node and comp,
     the class's least node."""
     small_batches(docs.sparkSession)

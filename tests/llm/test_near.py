@@ -123,6 +123,18 @@ def test_parities_rule_out_no_pair_that_is_alike():
         assert differ <= len(a) + len(b) - 2 * lcs(a, b)
 
 
+def test_pairs_near_the_threshold_meet(spark):
+    rng = random.Random(6)
+    docs = []
+    for i in range(120):
+        base = [f"a{i}x{j}" for j in range(300)]
+        changed = set(rng.sample(range(300), rng.randint(30, 59)))
+        docs += [base, [f"b{i}x{j}" if j in changed else w for j, w in enumerate(base)]]
+    df = spark.createDataFrame([(i, " ".join(d), "en") for i, d in enumerate(docs)], DOCS)
+    got = {r["doc_id"]: r["class_id"] for r in neardedup.classes(df).collect()}
+    assert sum(got[i + 1] == i for i in range(0, len(docs), 2)) >= 114
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, j) for j in range(101, 160)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(80)]
