@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density.
 
 The page becomes a tree. Elements that never hold article text (scripts, menus, forms, notices and the like, by tag,
-role or class) are left out. For every other element the density is its characters per tag, adjusted for link
+role or class) are left out, but on a page without article or main not the frames that hold most of it. For every other element the density is its characters per tag, adjusted for link
 characters and link tags; an element's sum adds its children's densities. The element with the largest sum leads; the
 least density on its path to the body is the threshold, and every element on or above the threshold adds the subtree
 of largest sum below it. The text of the chosen subtrees is joined block by block in page order.
@@ -49,10 +49,11 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "skip", "soft", "frame", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.skip, self.soft = tag, parent, skip, False
+        self.frame: frozenset[str] | None = None
         self.items: list[Node | str] = []
 
 
@@ -80,6 +81,15 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside_article: boo
     return False
 
 
+def frame_words(tag: str, attrs: list[tuple[str, str | None]]) -> frozenset[str] | None:
+    """What alone makes this element furniture, if that may be a frame around the text: a form, or class words other
+    than those of comments."""
+    if tag in SKIP and tag != "form" or tag == "header" or furniture("div", [x for x in attrs if x[0] not in ("class", "id")], False):
+        return None
+    words = {w.lower() for name, value in attrs if name in ("class", "id") and value for w in WORDS.findall(value)} & FURNITURE
+    return None if words & COMMENTS else frozenset(words | ({tag} if tag == "form" else set()))
+
+
 class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -87,9 +97,10 @@ class TreeBuilder(HTMLParser):
         self.depth: dict[str, int] = {}
         self.found = False
 
-    def push(self, tag: str, skip: bool) -> None:
+    def push(self, tag: str, skip: bool, frame: frozenset[str] | None) -> None:
         node = Node(tag, self.at, skip)
         node.soft = skip and tag not in SKIP and tag != "header"
+        node.frame = frame
         if tag in ("article", "main") and not skip and not self.found:
             self.found = True
             above = self.at  # a class name on a frame around the article doesn't make it furniture
@@ -125,7 +136,7 @@ class TreeBuilder(HTMLParser):
         if tag in VOID:
             self.at.items.append(Node(tag, self.at, skip))
         else:
-            self.push(tag, skip)
+            self.push(tag, skip, frame_words(tag, attrs) if skip else None)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # browsers ignore the slash of elements that aren't void
@@ -160,9 +171,38 @@ def parse(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    if not builder.found:
+        open_frames(builder.root)
     return builder.root
 
 
+def open_frames(root: Node) -> None:
+    """Where no article or main says what the text is: frames that are alike and hold most of the page's characters
+    take part in the density. Then the frames inside them are judged."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(x for x in node.items if isinstance(x, Node) and (not x.skip or x.frame))
+    chars: dict[int, int] = {}
+    for node in reversed(order):
+        chars[id(node)] = sum(len(SPACE.sub(" ", x).strip()) if isinstance(x, str) else chars.get(id(x), 0) for x in node.items)
+    opened = True
+    while opened:
+        opened, outer, stack = False, {}, [root]
+        while stack:
+            for x in stack.pop().items:
+                if isinstance(x, Node) and not x.skip:
+                    stack.append(x)
+                elif isinstance(x, Node) and x.frame:
+                    outer.setdefault(x.frame, []).append(x)
+        for alike in outer.values():
+            if 2 * sum(chars[id(x)] for x in alike) > chars[id(root)]:
+                opened = True
+                for x in alike:
+                    x.skip = False
+
+
 def postorder(root: Node) -> list[Node]:
     out, stack = [], [root]
     while stack:

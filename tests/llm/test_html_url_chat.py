@@ -32,6 +32,19 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='layout with-sidebar'><div class=menu><a>one</a></div><div class='content'><p>{BODY}</p><p>{BODY}</p></div><div class=sidebar><p>side</p></div></div></body>",
+        f"<body><form action=x><div class=nav><a>one</a></div><div><p>{BODY}</p><p>{BODY}</p></div></form></body>",
+        f"<body><div class='page with-sidebar'><div class=elementor-widget><p>{BODY}</p></div><div class=elementor-widget><p>{BODY}</p></div><div class=comments><p>{MORE * 9}</p></div></div></body>",
+    ],
+)
+def test_frames_of_plain_divs(page):
+    assert html.main_text(page) == f"{BODY} {BODY}"
+    assert html.main_text(f"<body><div hidden class=widget><p>{BODY}</p></div><div class=comments><p>{BODY}</p></div></body>") == ""
+
+
 def test_html_never_fails():
     rng = random.Random(1)
     parts = ["<p>", "</p>", "<div class='ad'>", "</div>", "<article>", "</article>", "<b>", "</b>", "<table><tr><td>", "</table>", "text ", "&amp;", "&#x41;", "<!-- c -->", "<", ">", "<a href='x'>", "</a>", "<script>", "</script>", "<li>", "</html>", "<body>", "<br/>", "<td>", "<![CDATA[x]]>", "<svg/>"]
