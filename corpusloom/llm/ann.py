@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import cut
@@ -57,14 +58,16 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype="<f8").reshape(len(column), -1)
 
 
-def _hash(signs: np.ndarray, probes: int, step: int = 2048):
+def _hash(signs: np.ndarray, probes: int, kept: str, step: int = 2048):
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), step):
                 part = pdf.iloc[lo : lo + step]
                 x = np.array([np.asarray(v, dtype="f8") for v in part["v"]])
+                if kept == "<f8":  # by powers of two, so that squares of large components stay finite
+                    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
                 unit = x / np.linalg.norm(x, axis=1)[:, None]
-                raw = [r.astype("<f4").tobytes() for r in x]
+                raw = [r.astype(kept).tobytes() for r in x]
                 for t in range(len(signs)):
                     found = axes(unit, signs[t], probes)
                     for p in range(found.shape[1]):
@@ -73,11 +76,11 @@ def _hash(signs: np.ndarray, probes: int, step: int = 2048):
     return run
 
 
-def _block(k: int, chunk: int = 512):
+def _block(k: int, kept: str, chunk: int = 512):
     def run(keys, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            a, b = (np.frombuffer(b"".join(x["v"]), dtype="<f4").reshape(len(x), -1).astype("f8") for x in (queries, rows))
+            a, b = (np.frombuffer(b"".join(x["v"]), dtype=kept).reshape(len(x), -1).astype("f8") for x in (queries, rows))
             norm_a, norm_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
             qk, rk, first = queries["key"].to_numpy(), rows["key"].to_numpy(), rows["first_id"].to_numpy()
             take = min(len(rows), k + 1)
@@ -94,15 +97,16 @@ def _block(k: int, chunk: int = 512):
     return run
 
 
-def _search(probed: DataFrame, indexed: DataFrame, k: int) -> DataFrame:
+def _search(probed: DataFrame, indexed: DataFrame, k: int, kept: str) -> DataFrame:
     names = ["t", "axis", "part"]
     probed = probed.select(*[F.col(c).alias(c) for c in probed.columns])  # both sides may stem from one table
-    return probed.groupBy(*names).cogroup(indexed.groupBy(*names)).applyInPandas(_block(k), "qkey long, key long, score double")
+    return probed.groupBy(*names).cogroup(indexed.groupBy(*names)).applyInPandas(_block(k, kept), "qkey long, key long, score double")
 
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, seed: int = 7, part_rows: int = 20_000) -> DataFrame:
     """query_id, rank (from 1), id, score: the k nearest other rows found for each row where `is_query` holds."""
     empty = "query_id long, rank int, vec_id long, score double"
+    kept = "<f4" if isinstance(vectors.select(vector_col).schema[0].dataType.elementType, T.FloatType) else "<f8"  # exact in both
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -119,21 +123,21 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     distinct = cut(low.groupBy("key").agg(F.min("id").alias("first_id"), F.array_sort(F.collect_list("id")).alias("ids"), F.first("v").alias("v")))
     signs = rotations(dim, tables, seed)
     hashed = "key long, t int, axis long, v binary"
-    indexed = cut(distinct.select("key", "v").mapInPandas(_hash(signs, 1), hashed).join(distinct.select("key", "first_id"), "key"))
+    indexed = cut(distinct.select("key", "v").mapInPandas(_hash(signs, 1, kept), hashed).join(distinct.select("key", "first_id"), "key"))
     parts = F.broadcast(indexed.groupBy("t", "axis").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / part_rows)).cast("long").alias("parts")))  # tables x axes rows
     indexed = indexed.join(parts, ["t", "axis"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).drop("parts")
     wanted = rows.filter("q").select("key", "id")
     asked = wanted.select("key").distinct().join(distinct.select("key", "v"), "key")
-    probed = asked.mapInPandas(_hash(signs, min(probes, 2 * signs.shape[2])), hashed).join(parts, ["t", "axis"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-    found = cut(_search(probed, indexed, k).groupBy("qkey", "key").agg(F.max("score").alias("score")))
+    probed = asked.mapInPandas(_hash(signs, min(probes, 2 * signs.shape[2]), kept), hashed).join(parts, ["t", "axis"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    found = cut(_search(probed, indexed, k, kept).groupBy("qkey", "key").agg(F.max("score").alias("score")))
     # queries with too few candidates meet all vectors by way of the first table
     reach = found.join(distinct.select("key", F.size("ids").alias("c")), "key").groupBy("qkey").agg(F.sum("c").alias("c"))
     short = cut(asked.join(reach, asked["key"] == reach["qkey"], "left").filter(F.coalesce("c", F.lit(0)) <= k).select("key", "v"))
     if short.limit(1).count():
-        encoded = short.mapInPandas(_hash(signs[:1], 1), hashed).drop("t", "axis")
+        encoded = short.mapInPandas(_hash(signs[:1], 1, kept), hashed).drop("t", "axis")
         everywhere = F.broadcast(parts.filter("t = 0").select("t", "axis", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
         every = encoded.withColumn("one", F.lit(0)).join(everywhere.withColumn("one", F.lit(0)), "one").drop("one")
-        more = _search(every, indexed.filter("t = 0"), k)
+        more = _search(every, indexed.filter("t = 0"), k, kept)
         found = found.unionByName(more).groupBy("qkey", "key").agg(F.max("score").alias("score"))
     lead = found.join(distinct.select("key", "first_id", "ids"), "key")
     lead = lead.withColumn("r", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), "first_id"))).filter(F.col("r") <= k + 1)

@@ -93,6 +93,16 @@ def test_recall_and_scores(spark):
     assert [a for a, _ in got[2000]] == [7, 2001, 2002, 2003, 2004]
 
 
+def test_ann_scores_doubles_as_they_are(spark):
+    rows = [(0, [1.0, 1e-9]), (1, [1.0, 2e-9]), (2, [1e200, 1e200]), (3, [1.0, 1.0 + 1e-7])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") == 3).orderBy("rank").collect()
+    near = {r["vec_id"]: r["score"] for r in got}
+    v = {i: np.array(x) / max(x) for i, x in rows}
+    want = {i: v[3] @ v[i] / np.linalg.norm(v[3]) / np.linalg.norm(v[i]) for i in (0, 1, 2)}
+    assert set(near) == set(want) and all(abs(near[i] - want[i]) < 1e-12 for i in want)
+
+
 def test_ann_small(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = ann.search(few, F.col("vec_id") % 50 == 0).orderBy("rank").collect()
