@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +30,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: Rows that a Python worker gets at once: texts may be long, and a worker keeps the memory of its largest batch.
-BATCH_ROWS = 1000
+def text_slices(texts: pa.Array, rows: int = 256) -> Iterator[list[str | None]]:
+    """The strings of an Arrow array, `rows` at a time: a batch may hold thousands of long texts, and only a slice of
+    them is ever turned into Python strings. An empty array gives one empty slice."""
+    for lo in range(0, max(1, len(texts)), rows):
+        yield texts.slice(lo, rows).to_pylist()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to BATCH_ROWS if they are larger."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+#: Rows of a narrow table (a key and a few numbers, 64 bytes in memory) that are sent to every executor at most.
+MOST_SENT = 250_000
+#: Rows of one key from which on it is hot.
+HOT_ROWS = 1000
+
+
+def join_unique(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """`rows` joined with `facts`, which is materialised, has each key once and tells in `rows` how many rows have it.
+
+    Hot keys, at most one for HOT_ROWS rows, meet by broadcast, or with a salt of the row if even they are too many to
+    send; the others by one shuffle. So no task gets all rows of a key.
+    """
+    hot = facts.filter(F.col("rows") > HOT_ROWS).drop("rows")
+    n = hot.count()
+    rest = facts.filter(F.col("rows") <= HOT_ROWS).drop("rows")
+    if not n:
+        return rows.join(rest, key)
+    if n <= MOST_SENT:
+        few = F.broadcast(hot)
+        return rows.join(few, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
+    salts, salt = 16, temp("salt")
+    spread = facts.drop("rows").withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).join(spread, [key, salt]).drop(salt)
 
 
 def ascii_lower(text: Column) -> Column:

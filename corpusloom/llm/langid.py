@@ -16,12 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import small_batches
+from corpusloom.llm.common import text_slices
 
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that stand for letters: ASCII letters and every byte of longer UTF-8 sequences.
@@ -166,7 +166,6 @@ def sample(docs: DataFrame, labelled: Column, id_col: str, text_col: str, lang_c
 
 
 def fit(docs: DataFrame, labelled: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 2000, per_doc: int = 4, window: int = 256) -> ByteCnn | None:
-    small_batches(docs.sparkSession)
     labelled = F.lit(True) if labelled is None else labelled
     return train(sample(docs, labelled, id_col, text_col, lang_col, max_docs, per_doc, window), window=window)
 
@@ -198,9 +197,10 @@ RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField
 def predictor(model: ByteCnn | None):
     """An Arrow UDF: text -> struct(lang_pred, score)."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            labels, scores = predict_texts(model, texts.tolist())
-            yield pd.DataFrame({"lang_pred": labels, "score": scores})
+            found = [predict_texts(model, part) for part in text_slices(texts)]
+            labels, scores = (pa.array([x for f in found for x in f[i]], kind) for i, kind in ((0, pa.string()), (1, pa.float64())))
+            yield pa.StructArray.from_arrays([labels, scores], names=["lang_pred", "score"])
 
-    return F.pandas_udf(run, RESULT)
+    return F.arrow_udf(run, RESULT)

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, small_batches
+from corpusloom.llm.common import cut, text_slices
 
 #: White space to str.split() but not to the tokenizer's pattern.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
@@ -93,25 +94,27 @@ def encoder(path: str) -> ChunkEncoder:
     return ENCODERS[path]
 
 
+PIECE = pa.schema([(c, pa.int64()) for c in ("id", "start", "length", "ids_crc32", "doc_tokens", "r")])
+
+
 def pieces(path: str, size: int, end_id: int):
     """(id, text) batches -> (id, start, length, ids_crc32, doc_tokens, r) rows; r orders and deals the pieces."""
     tail = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids, row = encoder(path).ids, 0
-        for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                part, out = pdf.iloc[lo : lo + 256], []
-                keys = part["id"].tolist()
-                for key, text in zip(keys, part["text"], strict=True):
-                    raw = (ids(text) if isinstance(text, str) else b"") + tail
+        for batch in batches:
+            for keys, texts in zip(text_slices(batch.column(0)), text_slices(batch.column(1)), strict=True):
+                out: list[tuple] = []
+                for key, text in zip(keys, texts, strict=True):
+                    raw = (ids(text) if text is not None else b"") + tail
                     total, view, row = len(raw) // 4, memoryview(raw), row + 1
                     for start in range(0, total, size):
                         length = min(size, total - start)
                         crc = zlib.crc32(view[4 * start : 4 * (start + length)])
                         out.append((key, start, length, crc, total, zlib.crc32(b"%d %d %d %d" % (crc, start, total, row))))
-                yield pd.DataFrame(out, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "r"]).astype({"id": "Int64"})
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 6)], schema=PIECE)
 
     return run
 
@@ -151,9 +154,8 @@ def pack_group(size: int):
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 1, group_size: int = 4096) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset in the sequence."""
-    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cutting = cut(base.mapInPandas(pieces(tokenizer_path, size, end_id), "id long, start long, length long, ids_crc32 long, doc_tokens long, r long"))
+    cutting = cut(base.mapInArrow(pieces(tokenizer_path, size, end_id), "id long, start long, length long, ids_crc32 long, doc_tokens long, r long"))
     groups = max(1, -(-cutting.filter(F.col("length") < size).count() // group_size))
     part = cutting.filter(F.col("length") < size).withColumn("g", F.pmod(F.xxhash64("r", "start", "ids_crc32"), F.lit(groups)))
     packed = part.groupBy("g").applyInPandas(pack_group(size), "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

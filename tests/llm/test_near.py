@@ -2,7 +2,7 @@ import collections
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from corpusloom.llm import neardedup
 
@@ -108,9 +108,10 @@ def test_pairs_of_a_large_bucket_are_all_compared(spark):
 
 def test_stored_words_give_the_samples_of_the_sketch():
     text = " ".join(f"w{i}" for i in range(200))
-    row = next(neardedup.sketch_rows(40, 3)(iter([pd.DataFrame({"id": [1], "text": [text]})]))).iloc[0]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["id", "text"])
+    row = next(neardedup.sketch_rows(40, 3)(iter([batch]))).to_pylist()[0]
     stored = np.frombuffer(row["words"], dtype="<u4").astype(np.uint64)
-    assert row["sketch"].tolist() == neardedup.order_minhash(stored, np.arange(40), 3).view(np.int64).tolist()
+    assert row["sketch"] == neardedup.order_minhash(stored, np.arange(40), 3).view(np.int64).tolist()
 
 
 def test_parities_rule_out_no_pair_that_is_alike():
