@@ -1,17 +1,23 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Unit vectors are rotated by three rounds of random signs and a fast Hadamard transform, and fall to the nearest
-signed axis. Every vector is indexed under one axis in each of `tables` rotations; a query probes the `probes` nearest
-axes of each. Query and vectors meet by (table, axis, part): all cosines of such a block are taken exactly in double
-precision from the original vectors, each block keeps its best, and the blocks' lists are merged.
+Unit vectors are rotated by three rounds of random signs and a fast Hadamard transform, and fall to the nearest signed
+axis. A hash is the axes of `polytopes` independent rotations; there are `tables` such hashes. Vectors are dealt to
+blocks by a hash of themselves, and each block indexes its own under all tables. Every query visits every block once:
+it probes, table by table, the buckets whose axes sum up to the most, and the cosines of what it finds there are taken in
+double precision from the original vectors. Each block returns its best, and the blocks' lists are merged.
+
+The length of the hash and the number of probes follow the number of vectors (`effort`), so that the share of vectors
+that a query meets falls as the table grows. What moves is each distinct vector once and each query once for a block.
 
 Equal vectors collapse to one with its k + 1 smallest ids: no other copy can be among the k nearest, as ties go to
-the smaller id. Buckets over `part_rows` vectors are split into parts, which the probes visit all.
+the smaller id.
 
 Defined results: vectors that are null, empty, zero or hold a null, NaN or infinite component take no part; vectors of
-another length than the most common one take no part; rows with a null id take no part; rows that repeat id and vector
-count once; with fewer than k candidates all that were found are returned, and for queries whose probes found fewer
-than k, the query meets every part of the first table; an empty table gives an empty result.
+different lengths have no cosine and are no candidates of each other; rows with a null id take no part; rows that repeat
+id and vector count once; with fewer than k candidates all that were found are returned, and a query whose probes found
+fewer than k meets all vectors of its length; components are taken as they are, doubles too, and scaled by powers of
+two where their squares would leave the range; only the id and the vector are read, so other columns may have any name;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import cut
+from corpusloom.llm.common import MOST_SENT, cut
+
+#: Vectors of a block, and the least that is worth a block of its own.
+BLOCK_ROWS, LEAST_ROWS = 65_536, 4_096
+#: Share of the vectors that a query's probes aim at for 500 vectors, and the power of the number that it falls with.
+SHARE, FALL = 0.75, 0.45
+#: Probes of a table at most; the longest hash that stays below it is taken.
+MOST_PROBES = 1024
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -36,109 +49,178 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
-def rotations(dim: int, tables: int, seed: int) -> np.ndarray:
-    """Random signs (tables, 3, width), width the next power of two."""
+def rotations(dim: int, hashes: int, seed: int) -> np.ndarray:
+    """Random signs (hashes, 3, width), width the next power of two."""
     width = 1 << max(0, (dim - 1).bit_length())
-    return np.random.default_rng(seed).choice(np.array([-1.0, 1.0]), (tables, 3, width))
+    return np.random.default_rng(seed).choice(np.array([-1.0, 1.0]), (hashes, 3, width))
 
 
-def axes(x: np.ndarray, signs: np.ndarray, probes: int) -> np.ndarray:
-    """(rows, probes): the nearest signed axes of the rotated rows, nearest first; axis width + i is -e_i."""
-    padded = np.zeros((len(x), signs.shape[1]))
-    padded[:, : x.shape[1]] = x
+def rotation(signs: np.ndarray) -> np.ndarray:
+    """The rotation by these signs as a matrix, from the fast transform of the unit vectors. Up to some hundred columns
+    one product with it takes less time than the transforms of all rows."""
+    unit = np.eye(signs.shape[1])
     for s in signs:
-        padded = hadamard(padded * s)
-    both = np.concatenate([padded, -padded], axis=1)
-    if probes == 1:
-        return both.argmax(axis=1)[:, None]
-    return np.argsort(-both, axis=1, kind="stable")[:, :probes]
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<f8").reshape(len(column), -1)
-
-
-def _hash(signs: np.ndarray, probes: int, kept: str, step: int = 2048):
-    def run(batches):
-        for pdf in batches:
-            for lo in range(0, len(pdf), step):
-                part = pdf.iloc[lo : lo + step]
-                x = np.array([np.asarray(v, dtype="f8") for v in part["v"]])
-                if kept == "<f8":  # by powers of two, so that squares of large components stay finite
-                    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
-                unit = x / np.linalg.norm(x, axis=1)[:, None]
-                raw = [r.astype(kept).tobytes() for r in x]
-                for t in range(len(signs)):
-                    found = axes(unit, signs[t], probes)
-                    for p in range(found.shape[1]):
-                        yield pd.DataFrame({"key": part["key"].to_numpy(), "t": t, "axis": found[:, p], "v": raw})
-
-    return run
+        unit = hadamard(unit * s)
+    return unit
+
+
+def rotated(x: np.ndarray, signs: np.ndarray, matrix: np.ndarray | None = None) -> np.ndarray:
+    """(rows, 2 width): how near the rotated rows are to each signed axis; axis width + i is -e_i."""
+    if matrix is not None:
+        out = x @ matrix[: x.shape[1]]
+    else:
+        out = np.zeros((len(x), signs.shape[1]))
+        out[:, : x.shape[1]] = x
+        for s in signs:
+            out = hadamard(out * s)
+    return np.concatenate([out, -out], axis=1)
+
+
+def effort(n: int, axes: int, tables: int) -> tuple[int, int]:
+    """Polytopes of a hash and probes of a table, for n vectors and 2 width axes."""
+    share = SHARE * min(1.0, (500 / max(1, n)) ** FALL)
+    polytopes = 1
+    while share * axes ** (polytopes + 1) / tables <= MOST_PROBES:
+        polytopes += 1
+    return polytopes, max(1, min(axes**polytopes, round(share * axes**polytopes / tables)))
+
+
+def best_buckets(near: list[np.ndarray], probes: int) -> np.ndarray:
+    """(rows, probes): the buckets whose axes' nearness sums up to the most. near: an array for each polytope.
+
+    Every start of a bucket among the best is among the best itself, so each polytope only extends what is left.
+    """
+    axes = near[0].shape[1]
+    total, code = np.zeros((len(near[0]), 1)), np.zeros((len(near[0]), 1), dtype=np.int64)
+    for x in near:
+        width = min(axes, probes)
+        first = np.argpartition(-x, width - 1, axis=1)[:, :width]
+        total = (total[:, :, None] + np.take_along_axis(x, first, axis=1)[:, None, :]).reshape(len(x), -1)
+        code = (code[:, :, None] * axes + first[:, None, :]).reshape(len(x), -1)
+        take = min(probes, total.shape[1])
+        best = np.argpartition(-total, take - 1, axis=1)[:, :take]
+        total, code = np.take_along_axis(total, best, axis=1), np.take_along_axis(code, best, axis=1)
+    return code
+
+
+class Index:
+    """The tables over the rows of x: the rows in the order of their buckets, and the buckets."""
+
+    def __init__(self, x: np.ndarray, n: int, tables: int, seed: int, step: int = 8192):
+        self.x, self.norm = x, np.linalg.norm(x, axis=1)
+        self.axes = 2 << max(0, (x.shape[1] - 1).bit_length())
+        self.polytopes, self.probes = effort(n, self.axes, tables)
+        self.signs = rotations(x.shape[1], tables * self.polytopes, seed).reshape(tables, self.polytopes, 3, -1)
+        small = self.signs.shape[-1] <= 512
+        self.matrices = [[rotation(s) if small else None for s in signs] for signs in self.signs]
+        unit = x / self.norm[:, None]
+        self.order, self.codes = [], []
+        for signs, matrices in zip(self.signs, self.matrices, strict=True):
+            code = np.zeros(len(x), dtype=np.int64)
+            for s, m in zip(signs, matrices, strict=True):
+                code = code * self.axes + np.concatenate([rotated(unit[lo : lo + step], s, m).argmax(axis=1) for lo in range(0, len(x), step)])
+            order = np.argsort(code, kind="stable")
+            self.order.append(order)
+            self.codes.append(code[order])
+
+    def candidates(self, unit: np.ndarray) -> list[np.ndarray]:
+        """The rows that the probes of each query find."""
+        found = []
+        for signs, matrices, order, codes in zip(self.signs, self.matrices, self.order, self.codes, strict=True):
+            wanted = best_buckets([rotated(unit, s, m) for s, m in zip(signs, matrices, strict=True)], self.probes)
+            low, high = (np.searchsorted(codes, wanted.ravel(), side) for side in ("left", "right"))
+            count = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+            found.append(np.repeat(np.repeat(np.arange(len(unit)), wanted.shape[1]), count) * len(self.x) + order[at])
+        pairs = np.unique(np.concatenate(found))
+        cuts = np.searchsorted(pairs, np.arange(1, len(unit)) * len(self.x))
+        return [part % len(self.x) for part in np.split(pairs, cuts)]
+
+
+def _matrix(column: pd.Series, kept: str) -> np.ndarray:
+    """The vectors as doubles, scaled by powers of two so that squares of large or small components stay in range."""
+    x = np.frombuffer(b"".join(column), dtype=kept).reshape(len(column), -1).astype("f8")
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None]) if kept == "<f8" else x
+
+
+def _pack(kept: str):
+    """Vectors as bytes of their own kind, so that nothing is rounded."""
+
+    def run(vectors: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(v, dtype=kept).tobytes() for v in vectors])
+
+    return F.pandas_udf(run, "binary")
+
+
+EMPTY = {"qkey": "i8", "key": "i8", "score": "f8"}
+
+
+def _block(k: int, kept: str, tables: int, seed: int, everything: bool, chunk: int = 32):
+    """A block's queries and rows -> the k + 1 best of each query. `everything`: all rows are candidates."""
 
-
-def _block(k: int, kept: str, chunk: int = 512):
     def run(keys, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            a, b = (np.frombuffer(b"".join(x["v"]), dtype=kept).reshape(len(x), -1).astype("f8") for x in (queries, rows))
-            norm_a, norm_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
-            qk, rk, first = queries["key"].to_numpy(), rows["key"].to_numpy(), rows["first_id"].to_numpy()
-            take = min(len(rows), k + 1)
-            for lo in range(0, len(a), chunk):
-                score = (a[lo : lo + chunk] @ b.T) / norm_a[lo : lo + chunk, None] / norm_b[None, :]
-                kth = -np.partition(-score, take - 1, axis=1)[:, take - 1 : take]
-                i, j = np.nonzero(score >= kth - 1e-12)
-                exact = np.einsum("ij,ij->i", a[lo + i], b[j]) / (norm_a[lo + i] * norm_b[j])
-                best = pd.DataFrame({"qkey": qk[lo + i], "key": rk[j], "first_id": first[j], "score": exact})
-                best = best.sort_values(["qkey", "score", "first_id"], ascending=[True, False, True], kind="stable")
-                out.append(best.groupby("qkey", sort=False).head(take))
-        return pd.concat(out)[["qkey", "key", "score"]] if out else pd.DataFrame({"qkey": np.array([], dtype="i8"), "key": np.array([], dtype="i8"), "score": np.array([], dtype="f8")})
+            rows, queries = rows.sort_values("key"), queries.sort_values("key")
+            x, asked = _matrix(rows["v"], kept), _matrix(queries["v"], kept)
+            key, first, qkey = rows["key"].to_numpy(), rows["first_id"].to_numpy(), queries["key"].to_numpy()
+            index = None if everything else Index(x, int(rows["n"].iloc[0]), tables, seed)
+            norm, length = np.linalg.norm(x, axis=1), np.linalg.norm(asked, axis=1)
+            for lo in range(0, len(asked), chunk):
+                part = asked[lo : lo + chunk]
+                found = [np.arange(len(x))] * len(part) if index is None else index.candidates(part / length[lo : lo + chunk, None])
+                for i, rows_of in enumerate(found, lo):
+                    if not len(rows_of):
+                        continue
+                    score = x[rows_of] @ asked[i] / norm[rows_of]
+                    take = min(len(score), k + 1)
+                    near = rows_of[score >= np.partition(score, len(score) - take)[len(score) - take] - 1e-9 * length[i]]
+                    exact = np.einsum("ij,j->i", x[near], asked[i]) / (norm[near] * length[i])
+                    best = np.lexsort((first[near], -exact))[:take]
+                    out.append(pd.DataFrame({"qkey": qkey[i], "key": key[near[best]], "score": exact[best]}))
+        return pd.concat(out) if out else pd.DataFrame({c: np.array([], dtype=t) for c, t in EMPTY.items()})
 
     return run
 
 
-def _search(probed: DataFrame, indexed: DataFrame, k: int, kept: str) -> DataFrame:
-    names = ["t", "axis", "part"]
-    probed = probed.select(*[F.col(c).alias(c) for c in probed.columns])  # both sides may stem from one table
-    return probed.groupBy(*names).cogroup(indexed.groupBy(*names)).applyInPandas(_block(k, kept), "qkey long, key long, score double")
-
-
-def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, seed: int = 7, part_rows: int = 20_000) -> DataFrame:
+def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, seed: int = 7, part_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank (from 1), id, score: the k nearest other rows found for each row where `is_query` holds."""
-    empty = "query_id long, rank int, vec_id long, score double"
-    kept = "<f4" if isinstance(vectors.select(vector_col).schema[0].dataType.elementType, T.FloatType) else "<f8"  # exact in both
+    spark = vectors.sparkSession
+    kept = "<f4" if isinstance(vectors.select(vector_col).schema[0].dataType.elementType, T.FloatType) else "<f8"
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull()).filter((F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
-    common = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if common is None:
-        return vectors.sparkSession.createDataFrame([], empty)
-    dim = common["d"]
-    rows = rows.filter(F.size("v") == dim)
     # -0.0 equals 0.0; a key per distinct vector
     rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("key", F.xxhash64("v"))
-    rows = cut(rows.groupBy("key", "id").agg(F.max("q").alias("q"), F.first("v").alias("v")))
-    low = rows.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("r") <= k + 1)
-    distinct = cut(low.groupBy("key").agg(F.min("id").alias("first_id"), F.array_sort(F.collect_list("id")).alias("ids"), F.first("v").alias("v")))
-    signs = rotations(dim, tables, seed)
-    hashed = "key long, t int, axis long, v binary"
-    indexed = cut(distinct.select("key", "v").mapInPandas(_hash(signs, 1, kept), hashed).join(distinct.select("key", "first_id"), "key"))
-    parts = F.broadcast(indexed.groupBy("t", "axis").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / part_rows)).cast("long").alias("parts")))  # tables x axes rows
-    indexed = indexed.join(parts, ["t", "axis"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).drop("parts")
-    wanted = rows.filter("q").select("key", "id")
-    asked = wanted.select("key").distinct().join(distinct.select("key", "v"), "key")
-    probed = asked.mapInPandas(_hash(signs, min(probes, 2 * signs.shape[2]), kept), hashed).join(parts, ["t", "axis"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-    found = cut(_search(probed, indexed, k, kept).groupBy("qkey", "key").agg(F.max("score").alias("score")))
-    # queries with too few candidates meet all vectors by way of the first table
+    ids = cut(rows.groupBy("key", "id").agg(F.max("q").alias("q")))
+    if not ids.filter("q").limit(1).count():
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    low = ids.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("r") <= k + 1)
+    low = low.groupBy("key").agg(F.min("id").alias("first_id"), F.array_sort(F.collect_list("id")).alias("ids"))
+    once = rows.groupBy("key").agg(F.first("v").alias("v"))
+    distinct = cut(once.join(low, "key").select("key", "first_id", "ids", F.size("v").alias("dim"), _pack(kept)("v").alias("v")))
+    sizes = distinct.groupBy("dim").agg(F.count("*").alias("n")).withColumn(
+        "blocks", F.greatest(F.ceil(F.col("n") / part_rows), F.least(F.lit(spark.sparkContext.defaultParallelism), F.ceil(F.col("n") / LEAST_ROWS))).cast("int")
+    )
+    sizes = cut(sizes)
+    sizes = F.broadcast(sizes) if sizes.count() <= MOST_SENT else sizes  # a row for each length of vectors
+    indexed = distinct.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    wanted = ids.filter("q").select("key", "id")
+    asked = cut(distinct.join(wanted.select("key").distinct(), "key", "left_semi").select("key", "dim", "v"))
+
+    def met(queries: DataFrame, everything: bool) -> DataFrame:
+        sent = queries.join(sizes, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        sent = sent.select(*[F.col(c).alias(c) for c in ("dim", "block", "key", "v")])  # both sides stem from one table
+        own = indexed.select("dim", "block", "key", "v", "first_id", "n")
+        return sent.groupBy("dim", "block").cogroup(own.groupBy("dim", "block")).applyInPandas(_block(k, kept, tables, seed, everything), "qkey long, key long, score double")
+
+    found = cut(met(asked, False))
+    # queries with too few candidates meet all vectors
     reach = found.join(distinct.select("key", F.size("ids").alias("c")), "key").groupBy("qkey").agg(F.sum("c").alias("c"))
-    short = cut(asked.join(reach, asked["key"] == reach["qkey"], "left").filter(F.coalesce("c", F.lit(0)) <= k).select("key", "v"))
+    short = cut(asked.join(reach, F.col("key") == F.col("qkey"), "left").filter(F.coalesce("c", F.lit(0)) <= k).select("key", "dim", "v"))
     if short.limit(1).count():
-        encoded = short.mapInPandas(_hash(signs[:1], 1, kept), hashed).drop("t", "axis")
-        everywhere = F.broadcast(parts.filter("t = 0").select("t", "axis", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
-        every = encoded.withColumn("one", F.lit(0)).join(everywhere.withColumn("one", F.lit(0)), "one").drop("one")
-        more = _search(every, indexed.filter("t = 0"), k, kept)
-        found = found.unionByName(more).groupBy("qkey", "key").agg(F.max("score").alias("score"))
+        found = found.unionByName(met(short, True)).groupBy("qkey", "key").agg(F.max("score").alias("score"))
     lead = found.join(distinct.select("key", "first_id", "ids"), "key")
     lead = lead.withColumn("r", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), "first_id"))).filter(F.col("r") <= k + 1)
     near = lead.select("qkey", "score", F.explode("ids").alias("near_id"))
