@@ -1,15 +1,18 @@
 """Sharding by k-d tree partitioning (native).
 
-Rows are points of metadata: id, size, source and language. A node that must hold k shards splits along the widest
+Rows are points of metadata: id, size, source and language; rows of equal texts share the point of the one with the
+smallest id, so a group of copies stays together but where a boundary of shards runs through it. A node that must hold k shards splits along the widest
 side of its box at the weighted quantile that gives floor(k / 2) of k shards' bytes to the left, until a leaf holds
 one shard, whose target is the total over the number of shards. Medians are found by radix descent over distributed
 histograms: each pass sums bytes per node and bin of the next `BITS` key bits, and the driver sees nodes x 2^BITS sums
-at most, whatever the input. Ties on the coordinate are ordered by text checksum and then by a hash of the id, so a
-value that holds a third of all rows is cut at the right place too.
+at most, whatever the input. Ties on the coordinate are ordered by text checksum and then by a hash of the row, so a
+value or a group of copies that holds a third of all rows is cut at the right place too. The law `bytes` comes first: a
+group is split at a boundary rather than moved whole.
 
 Defined results: a null text has size `overhead` and checksum 0; null ids, sources and languages are points at the low
-end; equal texts stay neighbours under every coordinate that they share; repeated rows are separate points; an empty
-table gives an empty result. Slots count from 0 in each shard without gaps.
+end; rows that repeat in every column are told apart by their place in the table and are dealt out like others; texts
+of any length are measured whole; an empty table gives an empty result; only the named columns are read, so others may
+have any name. Slots count from 0 in each shard without gaps.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import cut
+from corpusloom.llm.common import cut, join_unique
 
 BITS = 12
 #: Bits of the sort key: coordinate, checksum, hash of the id.
@@ -110,26 +113,35 @@ def _bound(number: int, bits: int) -> tuple[int, int, int]:
     return (number >> 2 * WIDTH & mask, number >> WIDTH & mask, number & mask) if number >= 0 else (-1, 0, 0)
 
 
-def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), overhead: int = 8, slot_rows: int = 2048, tolerance: float = 1e-4) -> DataFrame:
-    """id, size, text_crc32, law, shard, slot and grown_shard (null: the law is `bytes`) of every row."""
+def points(docs: DataFrame, id_col: str, text_col: str, dims: tuple[str, ...], overhead: int) -> DataFrame:
+    """id, size, crc, h (a hash that tells rows apart), and the row's point: `point` (an id) and checksums d2, ..."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    size = F.octet_length(text).cast("long") + overhead
-    top = F.lit((1 << WIDTH) - 1)
+    names = [f"d{i + 2}" for i in range(len(dims))]
     base = docs.select(
         F.col(id_col).cast("long").alias("id"),
-        size.alias("size"),
+        (F.octet_length(text).cast("long") + overhead).alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("crc"),
-        *[F.when(F.col(c).isNull(), 0).otherwise(F.crc32(F.encode(F.col(c).cast("string"), "UTF-8"))).alias(f"d{i + 2}") for i, c in enumerate(dims)],
-        F.pmod(F.monotonically_increasing_id(), F.lit(64)).alias("turn"),  # tells repeated rows apart
+        F.xxhash64(text).alias("group"),  # two texts that meet here only share a point
+        *[F.when(F.col(c).isNull(), 0).otherwise(F.crc32(F.encode(F.col(c).cast("string"), "UTF-8"))).alias(n) for n, c in zip(names, dims, strict=True)],
+        F.monotonically_increasing_id().alias("place"),
     )
-    base = cut(base.withColumn("h", F.pmod(F.xxhash64("id", "crc", "turn"), F.lit(1 << WIDTH))))
+    base = cut(base.withColumn("h", F.pmod(F.xxhash64("id", "crc", "place"), F.lit(1 << WIDTH))).drop("place"))
+    firsts = cut(base.groupBy("group").agg(F.count("*").alias("rows"), F.min(F.struct("id", *names)).alias("first")))
+    met = join_unique(base.drop(*names), firsts, "group")
+    return cut(met.select("id", "size", "crc", "h", F.col("first.id").alias("point"), *[F.col(f"first.{n}").alias(n) for n in names]))
+
+
+def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), overhead: int = 8, slot_rows: int = 2048, tolerance: float = 1e-4) -> DataFrame:
+    """id, size, text_crc32, law, shard, slot and grown_shard (null: the law is `bytes`) of every row."""
+    base = points(docs, id_col, text_col, dims, overhead)
+    top = F.lit((1 << WIDTH) - 1)
     out = ["id", "size", "crc", "shard"]
     sides = [f(f"d{i + 2}").alias(f"{n}{i + 2}") for i in range(len(dims)) for n, f in (("min", F.min), ("max", F.max))]
-    s = base.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("size").alias("least"), F.max("size").alias("most"), F.sum("size").alias("bytes"), *sides).first()  # one row
+    s = base.agg(F.min("point").alias("lo"), F.max("point").alias("hi"), F.min("size").alias("least"), F.max("size").alias("most"), F.sum("size").alias("bytes"), *sides).first()  # one row
     lo, hi = s["lo"] if s["lo"] is not None else 0, s["hi"] if s["hi"] is not None else 0
     span = max(1, hi - lo)
     # ids and the logarithm of sizes are scaled to 32 bits, as the checksums of names are
-    place = F.when(F.col("id").isNull(), 0).otherwise(F.least(top, ((F.col("id") - lo).cast("double") / span * ((1 << WIDTH) - 1)).cast("long")))
+    place = F.when(F.col("point").isNull(), 0).otherwise(F.least(top, ((F.col("point") - lo).cast("double") / span * ((1 << WIDTH) - 1)).cast("long")))
     scaled = F.least(top, (F.log2(F.col("size").cast("double")) / 48.0 * ((1 << WIDTH) - 1)).cast("long"))
     rows = base.withColumns({"d0": place, "d1": scaled})
     log = [int(math.log2(s[n] or 1) / 48.0 * ((1 << WIDTH) - 1)) for n in ("least", "most")]
@@ -138,7 +150,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     slack = max(1.0, (s["bytes"] or 0) / shards * tolerance)
     while s["bytes"] and any(n.shards > 1 for n in nodes):
         rows, nodes = _split(rows, nodes, slack)
-    placed = rows.withColumn("shard", _pick([n.first for n in nodes]).cast("int")).select(*out, "h")
+    placed = rows.drop("point").withColumn("shard", _pick([n.first for n in nodes]).cast("int")).select(*out, "h")
     # slots: rows are numbered in buckets of a shard, and buckets get the rows before them
     buckets = max(1, -(-base.count() // (shards * slot_rows)))
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("h", "crc"), F.lit(buckets)))
