@@ -8,8 +8,9 @@ them there.
 Rates above `step` are split into equal parts with a hash each, whose counts add up to the same distribution; this
 keeps exp(-rate) far from underflow and the inversion short.
 
-Defined results: null sources form a source of their own; a source without a weight gets `other`; null texts count as
-empty; rows that repeat an id draw the same count; an empty table gives an empty result.
+Defined results: null sources form a source of their own; a source without a weight gets `other`; texts are carried
+whole, whatever their length, and null ones stay null; rows that repeat an id draw the same count; an empty table gives
+an empty result; added columns give way to columns of the same name.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from corpusloom.llm.common import cut, free, temp
 
 
 #: Rates of sources that are sent to every executor at most.
-MOST_SOURCES = 100_000
+MOST_SOURCES = 20_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -32,22 +33,29 @@ def uniform(*parts: Column) -> Column:
 
 
 def poisson_inverse(u: Column, rate: Column) -> Column:
-    """The smallest k whose Poisson distribution function at `rate` exceeds u, by summing terms upwards."""
+    """The smallest k whose Poisson distribution function at `rate` exceeds u."""
+    return invert(poisson_function(rate), u)
+
+
+def poisson_function(rate: Column) -> Column:
+    """The Poisson distribution function at 0, 1, ..., far enough for any u below 1, by summing terms upwards."""
     longest = (rate + 12.0 * F.sqrt(rate) + 40.0).cast("int")
     state = F.aggregate(
         F.sequence(F.lit(1), longest),
-        F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k")),
-        lambda s, i: F.struct(
-            (s["p"] * rate / i).alias("p"),
-            F.when(s["c"] > u, s["c"]).otherwise(s["c"] + s["p"] * rate / i).alias("c"),
-            F.when(s["c"] > u, s["k"]).otherwise(i).alias("k"),
-        ),
+        F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("c")),
+        lambda s, i: F.struct((s["p"] * rate / i).alias("p"), F.concat(s["c"], F.array(F.element_at(s["c"], -1) + s["p"] * rate / i)).alias("c")),
     )
-    return state["k"]
+    return state["c"]
+
 
+def invert(function: Column, u: Column) -> Column:
+    """How many values of a distribution function don't exceed u."""
+    return F.least(F.size(F.filter(function, lambda c: c <= u)), F.size(function) - 1)
 
-def rates(docs: DataFrame, source_col: str, weights: Mapping[str, float] | None, other: float, total: int | None, power: float) -> DataFrame:
-    """source, rows and mean rate. Without `weights` a source weighs its rows to the power `power`."""
+
+def rates(docs: DataFrame, source_col: str, weights: Mapping[str, float] | None, other: float, total: int | None, power: float, step: float) -> DataFrame:
+    """source, mean rate and the parts that it is drawn in. Without `weights` a source weighs its rows to the power
+    `power`."""
     rows = docs.groupBy(F.col(source_col).alias(temp("source"))).agg(F.count("*").alias("n"))
     if weights is None:
         weight = F.pow(F.col("n").cast("double"), F.lit(power))
@@ -58,7 +66,9 @@ def rates(docs: DataFrame, source_col: str, weights: Mapping[str, float] | None,
     rows = rows.withColumn("w", weight)
     all_n, all_w = rows.agg(F.sum("n"), F.sum("w")).first()  # two numbers
     goal = float(total if total is not None else all_n or 0)
-    return rows.select(temp("source"), (F.lit(goal) * F.col("w") / F.lit(float(all_w or 1.0) or 1.0) / F.col("n")).alias(temp("rate")))
+    return rows.select(temp("source"), (F.lit(goal) * F.col("w") / F.lit(float(all_w or 1.0) or 1.0) / F.col("n")).alias(temp("rate"))).withColumn(
+        temp("parts"), F.greatest(F.lit(1), F.ceil(F.col(temp("rate")) / step).cast("int"))
+    )
 
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", weights: Mapping[str, float] | None = None, other: float = 0.0, total: int | None = None, power: float = 0.5, seed: int = 42, step: float = 64.0, shuffle: bool = True) -> DataFrame:
@@ -66,14 +76,13 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
 
     An added column whose name `docs` has already gets underscores at its end.
     """
-    table = cut(rates(docs, source_col, weights, other, total, power))
+    table = cut(rates(docs, source_col, weights, other, total, power, step))
+    table = table.withColumn(temp("function"), poisson_function(F.col(temp("rate")) / F.col(temp("parts"))))  # once for each source
     table = table if table.count() > MOST_SOURCES else F.broadcast(table)  # else texts move once more, by source
     met = docs.join(table, F.col(source_col).eqNullSafe(F.col(temp("source"))), "left")
-    rate = F.coalesce(F.col(temp("rate")), F.lit(0.0))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    parts = F.greatest(F.lit(1), F.ceil(rate / step).cast("int"))
-    draw = lambda i: poisson_inverse(uniform(F.lit(str(seed)), key, i.cast("string")), rate / parts)
-    counts = F.aggregate(F.transform(F.sequence(F.lit(0), parts - 1), draw), F.lit(0), lambda a, x: a + x)
+    numbers = F.transform(F.sequence(F.lit(0), F.col(temp("parts")) - 1), lambda i: uniform(F.lit(str(seed)), key, i.cast("string")))
+    counts = F.aggregate(F.transform(numbers, lambda u: invert(F.col(temp("function")), u)), F.lit(0), lambda a, x: a + x)
     met = met.withColumn(temp("copies"), counts).filter(F.col(temp("copies")) > 0)
     made = met.withColumn(temp("copy"), F.explode(F.sequence(F.lit(0), F.col(temp("copies")) - 1)))
     order = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), key, F.col(temp("copy")).cast("string")))
