@@ -19,10 +19,10 @@ WITH convs AS (
   SELECT conv_id, conv_id // 2 AS duo, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
 ), lasts AS (
-  SELECT *, list_max(list_transform(range(1, len(turns) + 1), lambda i: CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)) AS l FROM convs
+  SELECT *, r[len(r)] AS l, r[1 + conv_id % len(r)] AS cut FROM (SELECT *, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS r FROM convs) WHERE len(r) > 0
 ), pairs AS (
-  SELECT a.conv_id, a.turns[1:a.l] AS chosen, list_append(a.turns[1:a.l - 1], b.turns[b.l]) AS rejected
-  FROM lasts a JOIN lasts b ON a.duo = b.duo AND a.conv_id <> b.conv_id WHERE a.l > 0 AND b.l > 0
+  SELECT a.conv_id, a.turns[1:a.l] AS chosen, list_concat(a.turns[1:a.cut - 1], b.turns[b.cut:b.l]) AS rejected
+  FROM lasts a JOIN lasts b ON a.duo = b.duo AND a.conv_id <> b.conv_id
 ), prefixes AS (
   SELECT *, list_min(list_transform(range(0, least(len(chosen), len(rejected)) + 1), lambda i: CASE WHEN i = least(len(chosen), len(rejected)) OR chosen[i + 1] <> rejected[i + 1] THEN i ELSE 1000000 END)) AS n FROM pairs
 ), sides AS (

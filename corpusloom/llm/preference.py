@@ -6,7 +6,9 @@ that are trained on, the contents of its assistant turns with their end marks; h
 
 Defined results: null roles count as "user" and null texts as empty; turns are ordered by turn number, then role and
 text, null numbers first; rows that repeat are turns of their own; turns without a conversation id belong to none;
-chosen and rejected that are equal give two empty completions; an empty table gives an empty result.
+chosen and rejected that are equal give two empty completions; texts of any length are rendered whole; an empty table
+gives an empty result. Columns of the input that are named like those which `format_pairs` adds are replaced, all others
+pass through.
 
 A rendered conversation is one value, so the turns of one conversation (and its partner) meet in one task; nothing
 else does.
@@ -68,10 +70,12 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
 
 
 def mismatched_pairs(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """conv_id, chosen and rejected: a conversation up to its last assistant turn, against the same with its partner's.
+    """conv_id, chosen and rejected: a conversation up to its last assistant turn, against one that leaves it at some
+    assistant turn and goes on as its partner does.
 
-    Conversations 2k and 2k + 1 are partners and exchange their last assistant replies; a conversation without such a
-    reply, or whose partner has none, gives no pair. One shuffle brings both together.
+    Conversations 2k and 2k + 1 are partners. Of its n assistant turns a conversation is left at number conv_id mod n
+    (from 0), and the partner's turns from the one that is chosen likewise, up to its last assistant turn, follow. A
+    conversation without assistant turn, or whose partner has none, gives no pair. One shuffle brings both together.
     """
     rows = turns.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("conv"),
@@ -80,12 +84,14 @@ def mismatched_pairs(turns: DataFrame, id_col: str = "conv_id", turn_col: str =
     two = rows.groupBy(F.shiftright("conv", 1).alias("duo")).agg(F.collect_list(F.struct("conv", "t")).alias("all"))
     own = lambda odd: F.transform(F.array_sort(F.filter("all", lambda x: x["conv"].bitwiseAND(1) == odd)), lambda x: F.struct(x["t"]["role"].alias("role"), x["t"]["text"].alias("text")))
     two = two.select("duo", own(0).alias("x"), own(1).alias("y"))
-    last = lambda c: F.coalesce(F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.size(c), F.lit(1))), lambda i: F.when(F.get(c, i - 1)["role"] == "assistant", i))), F.lit(0))
-    two = two.withColumns({"i": last(F.col("x")), "j": last(F.col("y"))}).filter((F.col("i") > 0) & (F.col("j") > 0))
+    replies = lambda c: F.filter(F.transform(c, lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda i: i.isNotNull())
+    two = two.withColumns({"i": replies(F.col("x")), "j": replies(F.col("y"))}).filter((F.size("i") > 0) & (F.size("j") > 0))
+    left = lambda offset, at: F.get(at, F.pmod(F.col("duo") * 2 + offset, F.size(at)).cast("int"))
 
     def pair(offset: int, a: str, i: str, b: str, j: str) -> Column:
-        chosen = F.slice(F.col(a), F.lit(1), F.col(i))
-        rejected = F.concat(F.slice(F.col(a), F.lit(1), F.col(i) - 1), F.slice(F.col(b), F.col(j), F.lit(1)))
+        own, other = left(offset, F.col(i)), left(1 - offset, F.col(j))
+        chosen = F.slice(F.col(a), F.lit(1), F.array_max(i))
+        rejected = F.concat(F.slice(F.col(a), F.lit(1), own - 1), F.slice(F.col(b), other, F.array_max(j) - other + 1))
         return F.struct((F.col("duo") * 2 + offset).alias("conv_id"), chosen.alias("chosen"), rejected.alias("rejected"))
 
     return two.select(F.explode(F.array(pair(0, "x", "i", "y", "j"), pair(1, "y", "j", "x", "i"))).alias("p")).select("p.conv_id", "p.chosen", "p.rejected")
