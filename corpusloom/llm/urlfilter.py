@@ -6,8 +6,10 @@ of gradients that Spark sums per leaf, feature and bin. Gradients are rounded to
 the model doesn't depend on the order of rows. The finished model is one column expression.
 
 Defined results: a url that is null or has no "://" has empty host and path and is judged by the trees; features of an
-empty url are zeros; without labels, or with labels of one kind, the verdict is that kind (allow if there are none);
-repeated rows get the same verdict; other columns are left alone by `judge`; an empty table gives an empty result.
+empty url are zeros; urls of any length are read whole; without labels, or with labels of one kind, the verdict is that
+kind (allow if there are none); of splits of equal gain the first feature by name and the lowest bin win; repeated rows
+get the same verdict; other columns are left alone by `judge`, which adds names with a prefix; an empty table gives an
+empty result. A suffix's statistic is its rate of blocked urls, for a labelled url without its own label.
 """
 
 from __future__ import annotations
@@ -15,12 +17,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import ascii_lower, cut, temp
 
 SCALE = 1 << 20
+#: Rows that the mean rate weighs in the rate of a suffix.
+PRIOR = 4
 FEATURES = ("length", "depth", "digit_ratio", "entropy", "parameters", "host_labels", "hyphens", "suffix_rate")
 
 
@@ -82,10 +87,13 @@ class Model:
     rates: dict[str, float]
     rate: float
 
-    def features(self, url: Column) -> dict[str, Column]:
-        table = F.create_map(*[F.lit(x) for kv in self.rates.items() for x in kv]) if self.rates else None
-        known = F.try_element_at(table, suffix(host(F.coalesce(url, F.lit(""))))) if table is not None else F.lit(None).cast("double")
-        return lexical(url) | {"suffix_rate": F.coalesce(known, F.lit(self.rate))}
+    def measure(self, pages: DataFrame, url: Column) -> DataFrame:
+        """`pages` with the features of `url`, named by `temp`. The suffixes' rates, `max_rows` at most, are broadcast."""
+        name, known = temp("suffix"), temp("known")
+        rates = pages.sparkSession.createDataFrame(pa.table({name: pa.array(list(self.rates), pa.string()), known: pa.array(list(self.rates.values()), pa.float64())}))
+        met = pages.withColumn(name, suffix(host(F.coalesce(url, F.lit(""))))).join(F.broadcast(rates), name, "left")
+        values = lexical(url) | {"suffix_rate": F.coalesce(known, F.lit(self.rate))}
+        return met.withColumns({temp(f): c for f, c in values.items()}).drop(name, known)
 
     def margin(self, values: dict[str, Column], edges: dict[str, list[float]] | None = None) -> Column:
         out = F.lit(self.base)
@@ -94,7 +102,7 @@ class Model:
         return out
 
     def probability(self, url: Column) -> Column:
-        """Of `block`, from columns made by `features`."""
+        """Of `block`, from columns made by `measure`."""
         own = {f: F.col(temp(f)) for f in self.edges}
         return 1.0 / (1.0 + F.exp(-self.margin(own, self.edges)))
 
@@ -146,10 +154,11 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked",
 
         return Model(math.log(19.0) if n and positive else -math.log(19.0), {}, [], {}, 0.0)
     share = positive / n
-    rates = {r["suffix"]: (r["k"] + 4 * share) / (r["n"] + 4) for r in rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("k")).collect()}
+    sums = cut(rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("k")))  # `max_rows` at most
+    rates = {r["suffix"]: (r["k"] + PRIOR * share) / (r["n"] + PRIOR) for r in sums.orderBy("suffix").collect()}
     model = Model(0.0, {}, [], rates, share)
-    table = F.create_map(*[F.lit(x) for kv in sorted(rates.items()) for x in kv])
-    rows = rows.withColumn("suffix_rate", F.try_element_at(table, F.col("suffix")))
+    # a row's own label isn't among those that make its rate
+    rows = rows.join(F.broadcast(sums), "suffix").withColumn("suffix_rate", (F.col("k") - F.col("y") + PRIOR * share) / (F.col("n") - 1 + PRIOR))
     cuts = [i / bins for i in range(1, bins)]
     edges = rows.agg(*[F.percentile_approx(f, cuts, 10_000).alias(f) for f in FEATURES]).first()
     model.edges = {f: sorted(set(edges[f])) for f in FEATURES}
@@ -181,8 +190,8 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked",
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], model: Model, url_col: str = "url") -> DataFrame:
     """`pages` with host, path, rule, verdict and p_block, in columns named with a prefix that `temp` gives."""
     url = F.col(url_col).cast("string")
-    named = {temp("host"): host(url), temp("path"): path(url)} | ({temp(f): c for f, c in model.features(url).items()} if model.trees else {})
-    out = pages.withColumns(named)
+    out = pages.withColumns({temp("host"): host(url), temp("path"): path(url)})
+    out = model.measure(out, url) if model.trees else out
     out = out.withColumns({temp("match"): match(F.col(temp("host")), F.col(temp("path")), rules), temp("p"): model.probability(url)})
     by_model = F.when(F.col(temp("p")) >= 0.5, "block").otherwise("allow")
     return out.withColumns({temp("rule"): F.col(temp("match"))["rule"], temp("verdict"): F.coalesce(F.col(temp("match"))["verdict"], by_model)})
