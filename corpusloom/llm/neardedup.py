@@ -35,13 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import MOST_SENT, ChunkCache, cut, join_unique, temp, text_slices
+from corpusloom.llm.common import MOST_KEYS, MOST_SENT, ChunkCache, cut, join_unique, temp, text_slices
 
 SHINGLE = 3
 #: Members of a group up to which its pairs are tried by a join, and up to which one task tries them.
 SMALL, LARGE = 16, 4096
-#: Pairs that each class of a group contributes to the first rounds; then all that are left.
-PROMISING = (4, 32)
+#: Pairs that each class of a group contributes to the first round; then come all that are left.
+PROMISING = 8
 #: Centres of a larger group in the first round that has several.
 FIRST_CENTRES = 8
 #: Longs of 64 word parities that a text's bound takes, in joins and within a task.
@@ -360,16 +360,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _members(table: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """(g, sample, node, size) of the buckets that several nodes share, and (node, words, sketch) of those nodes."""
+    """(g, sample, node) of the buckets that several nodes share, and (node, words, sketch) of those nodes."""
     nodes = cut(table.groupBy("node").agg(F.first("sketch").alias("sketch")))
     bands = nodes.select("node", F.posexplode("sketch").alias("sample", "g"))
-    counts = cut(bands.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1"))
-    members = cut(bands.join(counts if counts.count() > MOST_SENT else F.broadcast(counts), "g"))
+    shared = cut(bands.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1").select("g"))
+    members = cut(bands.join(shared if shared.count() > MOST_KEYS else F.broadcast(shared), "g", "left_semi").select("g", "sample", "node"))
     chosen = cut(gathered(members.select("node").distinct(), members.count()))
     count = chosen.count()
     if not count:
         return None
-    few = chosen if count > MOST_SENT else F.broadcast(chosen)
+    few = chosen if count > MOST_KEYS else F.broadcast(chosen)
     words = table.select("node", "words").join(few, "node", "left_semi").groupBy("node").agg(F.max("words").alias("words"))
     return members, cut(gathered(words.join(nodes.join(few, "node", "left_semi"), "node"), count, 5_000))
 
@@ -382,7 +382,7 @@ class _Search:
 
     def __init__(self, members: DataFrame, words: DataFrame, threshold: float):
         self.words, self.threshold = words, threshold
-        nodes = gathered(members.groupBy("node").agg(F.sum("size").alias("weight")), members.count())
+        nodes = gathered(members.groupBy("node").agg(F.count("*").alias("weight")), members.count())
         schema = ", ".join(["node long", "bits binary", *[f"{c} long" for c in BOUNDS]])
         self.nodes = cut(nodes.join(words.select("node", "words").mapInArrow(bound_rows, schema), "node"))
         self.comps = self.nodes.select("node", F.col("node").alias("comp"))
@@ -392,7 +392,10 @@ class _Search:
     def compare(self, pairs: DataFrame) -> None:
         pairs = pairs.distinct()
         pairs = cut(pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti"))
-        with_words = pairs.join(self.words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(self.words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
+        words = self.words.select("node", "words")
+        if 2 * pairs.count() <= MOST_SENT:  # else about all words move
+            words = words.join(F.broadcast(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))), "node", "left_semi")
+        with_words = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
         found = cut(with_words.select("a", "b", "wa", "wb").mapInArrow(verify(self.threshold), "a long, b long"))
         first = self.links is None
         self.tested = pairs if self.tested is None else self.tested.unionAll(pairs)
@@ -469,9 +472,10 @@ def _links(table: DataFrame, threshold: float, large: int, best: int = 4) -> _Se
     search = _Search(members, words, threshold)
     search.lead(members, best)
     active = search.open(members)
+    active = cut(active.join(active.groupBy("g").agg(F.count("*").alias("size")), "g"))
     small = active.filter(F.col("size") <= SMALL)
     middle = active.filter((F.col("size") > SMALL) & (F.col("size") <= large)).select("g", "sample", "node")
-    crowded = cut(active.filter(F.col("size") > large).select("g", "node"))
+    crowded = active.filter(F.col("size") > large).select("g", "node")
     if crowded.limit(1).count():
         parts = search.split(crowded, large).withColumn("sample", F.lit(-1))
         full = cut(parts.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > large).select("g"))
@@ -481,7 +485,7 @@ def _links(table: DataFrame, threshold: float, large: int, best: int = 4) -> _Se
         middle = middle.unionByName(parts)
     search.compare(search.join_pairs(small))
     middle = cut(middle)
-    for most in (*PROMISING, None):
+    for most in (PROMISING, None):
         middle = search.open(middle)
         if not middle.limit(1).count():
             break
