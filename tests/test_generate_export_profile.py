@@ -12,7 +12,7 @@ OBJ = '{"instruction": "q", "response": "a"}'
 
 @pytest.mark.parametrize(
     "response, n, raw",
-    [(f"[{OBJ}]", 1, 1), (OBJ, 1, 1), (f"```json\n[{OBJ},{OBJ}]\n```", 2, 2), (f"Here: {OBJ} and {OBJ}", 2, 2), ("nothing", 0, 0), (f"}} {OBJ}", 0, 0), ('{"a": "}"} {"b": 1}', 0, 0), (f"```\n{OBJ}\nand\n{OBJ}\n```", 2, 2), ("", 0, 0), ("3", 1, 1)],
+    [(f"[{OBJ}]", 1, 1), (OBJ, 1, 1), (f"```json\n[{OBJ},{OBJ}]\n```", 2, 2), (f"Here: {OBJ} and {OBJ}", 2, 2), ("nothing", 0, 0), (f"}} {OBJ}", 1, 1), ('{"a": "}"} {"b": 1}', 2, 2), ('{"a": {"b": 1}} {broken {"c": 2}', 2, 2), (f"```\n{OBJ}\nand\n{OBJ}\n```", 2, 2), ("", 0, 0), ("3", 1, 1)],
 )
 def test_parser(response, n, raw):
     assert len(generate.parse_response(response)) == n
