@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 SPACES = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WS = f"[{SPACES}]"
 NOT_WS = f"[^{SPACES}]"
-STRIP = rf"\A{WS}+|{WS}+\z"
+#: The same characters one by one.
+SPACE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WORD = f"{NOT_WS}+"
 ALPHA_WORD = rf"{NOT_WS}*\p{{L}}{NOT_WS}*"
 PAGE_NUMBER = rf"^{WS}*\p{{Nd}}+{WS}*$"
@@ -27,8 +28,8 @@ PLAIN = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--"
 
 
 def strip(text: Column) -> Column:
-    """Python's str.strip()."""
-    return F.regexp_replace(text, STRIP, "")
+    """Python's str.strip(); looks at the ends only."""
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def word_count(text: Column) -> Column:
@@ -43,10 +44,11 @@ def _nfkd(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def normalize_unicode(text: Column) -> Column:
     """NFKD, then plain quotes, dashes, dots and spaces. Rows in plain ASCII are left alone by definition."""
-    out = F.pandas_udf(_nfkd, "string")(text)
+    ascii = F.octet_length(text) == F.length(text)
+    out = F.pandas_udf(_nfkd, "string")(F.when(~ascii, text))  # Python gets a null in place of plain ASCII
     for mark, plain in PLAIN.items():
         out = F.replace(out, F.lit(mark), F.lit(plain))
-    return F.when(F.octet_length(text) == F.length(text), text).otherwise(out)
+    return F.when(ascii, text).otherwise(out)
 
 
 def clean_whitespace(text: Column) -> Column:

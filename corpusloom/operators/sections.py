@@ -26,9 +26,14 @@ def is_title(text: Column) -> Column:
 
 
 def is_book_heading(line: Column) -> Column:
-    s = strip(line)
+    return is_stripped_book_heading(strip(line))
+
+
+def is_stripped_book_heading(s: Column) -> Column:
+    """Cheap tests come first: long lines are ruled out by their length before any pattern, as ten words of a heading
+    hold one gap at least."""
     words = word_count(s)
-    return (F.length(s) >= 3) & (words <= 10) & (s.rlike(OPENINGS) | (is_upper(s) & (words >= 2)) | (is_title(s) & (words >= 2) & (F.length(s) < 60)))
+    return (F.length(s) >= 3) & (words <= 10) & (s.rlike(OPENINGS) | ((words >= 2) & (is_upper(s) | ((F.length(s) < 60) & is_title(s)))))
 
 
 def is_page_heading(line: Column) -> Column:
@@ -37,12 +42,16 @@ def is_page_heading(line: Column) -> Column:
     return (line != "") & (F.length(line) <= 100) & ((is_upper(line) & (word_count(line) <= 8)) | numbered)
 
 
-def _slices(lines: Column, heading) -> Column:
-    """array<struct(title, first, body)>: the stretch before the first heading (title null) and after each one."""
-    marks = F.concat(F.array(F.lit(-1)), F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: heading(F.get(lines, i))))
-    ends = F.concat(F.slice(marks, F.lit(2), F.size(marks)), F.array(F.size(lines)))
+def _marks(lines: Column, heading) -> Column:
+    """-1 and the positions of the headings. The test runs over the lines themselves, each bound once."""
+    found = F.transform(lines, lambda line, i: F.when(heading(line), i))
+    return F.concat(F.array(F.lit(-1)), F.filter(found, lambda i: i.isNotNull()))
+
+
+def _slices(lines: Column, marks: Column) -> Column:
+    """array<struct(title, end, body)>: the stretch before the first heading (title null) and after each one."""
     return F.transform(
-        F.arrays_zip(marks.alias("mark"), ends.alias("end")),
+        F.arrays_zip(marks.alias("mark"), F.concat(F.slice(marks, F.lit(2), F.size(marks)), F.array(F.size(lines))).alias("end")),
         lambda s: F.struct(
             F.when(s["mark"] >= 0, F.get(lines, s["mark"])).alias("title"),
             s["end"].alias("end"),
@@ -51,11 +60,18 @@ def _slices(lines: Column, heading) -> Column:
     )
 
 
+def _settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that later expressions read and don't compute again: a generator of one row is a boundary that
+    projections aren't merged across."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def split_by_headings(docs: DataFrame, text_col: str = "text", min_words: int = 20) -> DataFrame:
     """`docs` exploded to sections: section_pos, title, section_text. Bodies under `min_words` words are left out."""
     made = docs.withColumn("__lines", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
-    made = made.select(*docs.columns, F.posexplode(_slices(F.col("__lines"), is_book_heading)).alias("section_pos", "__s"))
-    made = made.withColumns({"title": F.coalesce(strip(F.col("__s")["title"]), F.lit("Untitled Section")), "section_text": strip(F.array_join(F.col("__s")["body"], "\n"))})
+    made = _settled(made, "__marks", _marks(F.transform("__lines", strip), is_stripped_book_heading))
+    made = made.select(*docs.columns, F.posexplode(_slices(F.col("__lines"), F.col("__marks"))).alias("section_pos", "__s"))
+    made = _settled(made.withColumn("title", F.coalesce(strip(F.col("__s")["title"]), F.lit("Untitled Section"))), "section_text", strip(F.array_join(F.col("__s")["body"], "\n")))
     return made.filter(word_count(F.col("section_text")) >= min_words).drop("__s")
 
 
@@ -68,7 +84,8 @@ def page_sections(pages: DataFrame, doc_col: str, page_col: str, text_col: str)
     rows = pages.filter(strip(F.col(text_col)) != "").select(doc_col, F.struct(F.col(page_col).cast("int").alias("page"), lines.alias("lines")).alias("p"))
     docs = rows.groupBy(doc_col).agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["lines"])).alias("__all"))
     docs = docs.withColumns({"__lines": F.transform("__all", lambda x: x["line"])})
-    made = docs.select(doc_col, "__all", F.posexplode(_slices(F.col("__lines"), is_page_heading)).alias("section_pos", "__s"))
+    docs = _settled(docs, "__marks", _marks(F.col("__lines"), is_page_heading))
+    made = docs.select(doc_col, "__all", F.posexplode(_slices(F.col("__lines"), F.col("__marks"))).alias("section_pos", "__s"))
     page = F.get(F.col("__all"), F.col("__s")["end"])["page"]  # null after the last line
     title = F.coalesce(F.col("__s")["title"], F.when(page.isNotNull(), F.concat(F.lit("Page "), page.cast("string"))).otherwise(F.lit("Final Section")))
     made = made.select(doc_col, "section_pos", title.alias("title"), F.array_join(F.col("__s")["body"], "\n").alias("section_text"), page.cast("int").alias("start_page"), F.size(F.col("__s")["body"]).alias("__n"))
