@@ -81,6 +81,9 @@ def describe(df: DataFrame, pos_col: str, head: str, rows: int, blank_after_head
     return lines.select(F.concat(F.lit(head.replace("{n}", str(n)).replace("{columns}", ", ".join(own)) + ("\n\n" if blank_after_head else "\n")), F.col("lines")).alias("text"))
 
 
+# headers of descriptions: fixed values
+
+
 def describe_frame(df: DataFrame, pos_col: str) -> DataFrame:
     return describe(df, pos_col, "Data with columns: {columns}\nTotal rows: {n}", 50)
 

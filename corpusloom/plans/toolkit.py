@@ -55,11 +55,12 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--type", choices=list(TYPES), default="qa")
     parser.add_argument("--n", type=int, default=3)
     parser.add_argument("--prompt", help="a file with another instruction")
+    parser.add_argument("--model", help="module:attribute of a model factory; without it an offline stand-in answers")
     given = parser.parse_args(args)
     settings, spark = Settings.load(f"{given.base}/config.yaml"), local_session()
     chunks = records.read_jsonl(spark, f"{given.base}/chunks", records.CHUNK)
     own = Path(given.prompt).read_text(encoding="utf-8") if given.prompt else None
-    factory = generate.echo_factory
+    factory = generate.named_factory(given.model) if given.model else generate.echo_factory
     if given.command == "preview":
         out = preview(chunks, given.type, settings, given.n, instruction=own)
     elif given.command == "test":

@@ -11,14 +11,14 @@ import yaml
 DEFAULT_COUNT = 3
 #: Records asked for per chunk; fixed values.
 COUNTS = {"qa_pairs_per_chunk": 5, "conversations_per_chunk": 2, "completions_per_chunk": 3, "classifications_per_chunk": 3}
-#: Generation type -> system prompt, instruction, count key, output folder.
+#: Generation type -> system prompt, instruction, count key, output folder; fixed values.
 TYPES = {
     "qa": ("qa_system", "qa_instruction", "qa_pairs_per_chunk", "qa"),
     "conversation": ("conversation_system", "conversation_instruction", "conversations_per_chunk", "conversations"),
     "completion": ("completion_system", "completion_instruction", "completions_per_chunk", "completions"),
     "classification": ("classification_system", "classification_instruction", "classifications_per_chunk", "classification"),
 }
-#: Instructions for tabular chunks; other types have none of their own.
+#: Instructions for tabular chunks; other types have none of their own. Fixed values.
 TABULAR = {"qa": "training_log_qa_instruction", "conversation": "training_log_conversation_instruction"}
 PROMPTS = {
     "qa_system": "Write question and answer pairs that teach what a source text says.",
@@ -48,8 +48,13 @@ class Settings:
     def load(cls, path: str) -> Settings:
         data = (yaml.safe_load(Path(path).read_text(encoding="utf-8")) if Path(path).exists() else None) or {}
         llm = data.get("llm") or {}
-        out = cls(llm.get("model", ""), llm.get("max_tokens", 2048), llm.get("temperature", 0.7), dict(data.get("generation") or COUNTS), list(data.get("topics") or []), dict(data.get("prompts") or PROMPTS))
-        return out
+        split = (data.get("data") or {}).get("train_val_test_split") or (0.8, 0.1)
+        if len(split) < 2 or min(split) < 0 or sum(split) > 1 + 1e-9:
+            raise ValueError(f"split ratios must be two or three shares of one: {split}")
+        return cls(
+            llm.get("model", ""), llm.get("max_tokens", 2048), llm.get("temperature", 0.7),
+            dict(data.get("generation") or COUNTS), list(data.get("topics") or []), dict(data.get("prompts") or PROMPTS), (float(split[0]), float(split[1])),
+        )
 
     def prompt(self, name: str) -> str:
         return self.prompts.get(name, "")

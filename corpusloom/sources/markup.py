@@ -1,7 +1,9 @@
 """HTML pages and EPUB books to cleaned text.
 
-The text of a page is what lies in its first article, else main, else body, without scripts, styles, menus, headers,
-footers and sidebars. Parsing is an Arrow UDF over the standard library's tolerant parser; cleaning is built-in.
+The main text of a page is that of the element whose own paragraphs, list items, table cells and headings hold the most
+text that isn't links, without reader comments. Where that isn't meaningful, the text is what lies in its first article,
+else main, else body. Both leave out scripts, styles, menus, headers, footers and sidebars. Parsing is an Arrow UDF over
+the standard library's tolerant parser; cleaning is built-in.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,10 @@ from corpusloom.functions.text import full_clean, is_meaningful
 from corpusloom.operators.sections import split_by_headings
 
 DROPPED = frozenset(["script", "style", "nav", "footer", "header", "aside"])
+#: Names of class or id attributes that hold reader comments.
+COMMENT_NAMES = frozenset(["comment", "comments", "comment-list", "commentlist", "disqus_thread", "respond"])
+BLOCKS = frozenset(["p", "li", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "dt", "figcaption", "caption"])
+INLINE = frozenset(["a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"])
 VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
 
 
@@ -70,31 +77,111 @@ class TextParser(HTMLParser):
         return None
 
 
-def parse_page(html: str | None) -> tuple[str, str | None]:
+class ArticleParser(HTMLParser):
+    """Collects text by blocks, each with the elements around it and the characters that lie in links."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack: list[tuple[str, int, bool]] = []  # tag, number of the element, whether it and what it holds are left out
+        self.made = 0
+        self.blocks: list[tuple[tuple[int, ...], str, int]] = []
+        self.parts: list[str] = []
+        self.linked = 0
+
+    def close_block(self) -> None:
+        text = "".join(self.parts).strip()
+        if text:
+            around = [n for tag, n, _ in self.stack if tag not in BLOCKS and tag not in INLINE]
+            self.blocks.append((tuple(around), text, self.linked))
+        self.parts, self.linked = [], 0
+
+    def handle_starttag(self, tag: str, attrs) -> None:
+        if tag == "br":
+            self.parts.append("\n")
+        if tag in VOID:
+            return
+        if tag not in INLINE:
+            self.close_block()
+            if tag in BLOCKS:  # a block ends an open one of its kind, as browsers read it
+                while self.stack and (self.stack[-1][0] in INLINE or self.stack[-1][0] == tag):
+                    self.stack.pop()
+        names = {w for k, v in attrs if k in ("class", "id") and v for w in v.lower().split()}
+        left_out = bool(self.stack and self.stack[-1][2]) or tag in DROPPED or tag in ("title", "head", "template", "noscript") or not COMMENT_NAMES.isdisjoint(names)
+        self.made += 1
+        self.stack.append((tag, self.made, left_out))
+
+    def handle_endtag(self, tag: str) -> None:
+        if all(t != tag for t, _, _ in self.stack):
+            return
+        if tag not in INLINE:
+            self.close_block()
+        while self.stack.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][2]:
+            return
+        self.parts.append(data)
+        if any(t == "a" for t, _, _ in self.stack):
+            self.linked += len(data.strip())
+
+    def main(self) -> str:
+        """The blocks within the element whose own blocks hold the most text; half of it counts for the element around."""
+        self.close_block()
+        score: dict[int, float] = {}
+        for around, text, linked in self.blocks:
+            for place, weight in zip(reversed(around), (1.0, 0.5), strict=False):
+                score[place] = score.get(place, 0.0) + weight * max(0, len(text) - 2 * linked)
+        if not score:
+            return ""
+        best = min(score, key=lambda n: (-score[n], n))
+        return "\n".join(text for around, text, _ in self.blocks if best in around)
+
+
+def article_text(html: str) -> str:
+    parser = ArticleParser()
+    parser.feed(html)
+    parser.close()
+    return parser.main()
+
+
+def parse_page(html: str | None) -> tuple[str, str | None, str]:
     parser = TextParser()
     parser.feed(html or "")
     parser.close()
-    return "".join(x.strip() for x in parser.parts["title"]), parser.main()
+    return "".join(x.strip() for x in parser.parts["title"]), parser.main(), article_text(html or "")
 
 
-PAGE = T.StructType([T.StructField("title", T.StringType()), T.StructField("raw", T.StringType())])
+PAGE = T.StructType([T.StructField("title", T.StringType()), T.StructField("raw", T.StringType()), T.StructField("article", T.StringType())])
 
 
 def page_text(html: Column) -> Column:
-    """struct(title, raw): raw is null where the page has no body."""
+    """struct(title, raw, article): raw is null where the page has no body. Pages are parsed some at a time, so that a
+    batch of long ones isn't held as Python strings."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for pages in batches:
-            yield pd.DataFrame([parse_page(p) for p in pages], columns=["title", "raw"])
+            parts = []
+            for lo in range(0, max(1, len(pages)), 64):
+                found = [parse_page(p) for p in pages.slice(lo, 64).to_pylist()]
+                parts.append(pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in range(3)], names=["title", "raw", "article"]))
+            yield pa.concat_arrays(parts)
+
+    return F.arrow_udf(run, PAGE)(html)
 
-    return F.pandas_udf(run, PAGE)(html)
 
+def html_sections(pages: DataFrame, html_col: str, name: Column, unicode: bool = True, main: bool = True) -> DataFrame:
+    """`pages` with title, text and extraction_method; pages without meaningful text are left out.
 
-def html_sections(pages: DataFrame, html_col: str, name: Column, unicode: bool = True) -> DataFrame:
-    """`pages` with title and text; pages without meaningful text are left out."""
+    `main` False takes the first article, main or body at once.
+    """
     made = pages.withColumn("__p", page_text(F.col(html_col)))
-    made = made.withColumns({"title": F.coalesce(F.nullif(F.col("__p")["title"], F.lit("")), name), "text": full_clean(F.coalesce(F.col("__p")["raw"], F.lit("")), unicode=unicode)})
-    return made.filter(is_meaningful(F.col("text"))).drop("__p")
+    article = full_clean(F.col("__p")["article"], unicode=unicode)
+    whole = full_clean(F.coalesce(F.col("__p")["raw"], F.lit("")), unicode=unicode)
+    made = made.withColumns({"title": F.coalesce(F.nullif(F.col("__p")["title"], F.lit("")), name), "__a": article if main else F.lit("")})
+    made = made.withColumn("extraction_method", F.when(is_meaningful(F.col("__a")), "main_text").otherwise("fallback"))
+    made = made.withColumn("text", F.when(F.col("extraction_method") == "main_text", F.col("__a")).otherwise(whole))
+    return made.filter(is_meaningful(F.col("text"))).drop("__p", "__a")
 
 
 def read_html(spark: SparkSession, path: str) -> DataFrame:

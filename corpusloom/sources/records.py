@@ -27,9 +27,18 @@ RECORDS = {
 CORRUPT = "__corrupt"
 
 
-def read_documents(spark: SparkSession, *paths: str) -> DataFrame:
-    """Exploded sections: source_id, doc_type, section_pos, title, text, metadata, content_type."""
-    docs = spark.read.schema(DOCUMENT).json(list(paths), multiLine=True, mode="FAILFAST")
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_documents(spark: SparkSession, *paths: str, one_per_file: bool = False) -> DataFrame:
+    """Exploded sections: source_id, doc_type, section_pos, title, text, metadata, content_type.
+
+    Documents stand one on a line, as `write_documents` writes them, or one in a file, on any number of lines.
+    """
+    docs = spark.read.schema(DOCUMENT).json(list(paths), multiLine=one_per_file, mode="FAILFAST")
     rows = docs.select("source_id", F.coalesce("content_type", F.lit("prose")).alias("doc_type"), F.posexplode("sections").alias("section_pos", "s"))
     return rows.select("source_id", "doc_type", "section_pos", F.coalesce("s.title", F.lit("")).alias("title"), F.coalesce("s.text", F.lit("")).alias("text"), "s.metadata", F.coalesce(F.try_element_at("s.metadata", F.lit("content_type")), F.lit("prose")).alias("content_type"))
 

@@ -22,7 +22,7 @@ EXTRACTORS = {
     "sqlite": "extract_database",
     "json_db": "extract_database",
 }
-#: Where a type's extracted documents go; types not listed go to the last.
+#: Where a type's extracted documents go; types not listed go to the last. Fixed values.
 FOLDERS = {"epub": "textbooks", "pdf": "textbooks", "html": "articles"}
 OTHER_FOLDER = "training_logs"
 
@@ -31,6 +31,7 @@ SCHEMA = T.StructType(
     + [T.StructField("topics", T.ArrayType(T.StringType()))]
     + [T.StructField(c, T.StringType()) for c in ("priority", "notes", "format_notes")]
 )
+#: Values of keys that an entry leaves out; fixed values.
 DEFAULTS = {"title": "", "topics": [], "priority": "normal", "notes": "", "format_notes": ""}
 REQUIRED = ("id", "type", "path")
 

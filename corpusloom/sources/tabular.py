@@ -6,6 +6,8 @@ import json
 import re
 import sqlite3
 import zipfile
+from collections.abc import Callable
+from datetime import date, timedelta
 from pathlib import Path
 from xml.etree import ElementTree
 
@@ -28,7 +30,42 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     suffix = Path(path).suffix.lower()
     if suffix not in (".csv", ".tsv"):
         raise ValueError(f"unsupported file type: {suffix}")
-    return spark.read.csv(path, header=True, inferSchema=True, sep="\t" if suffix == ".tsv" else ",", multiLine=True)
+    sep = "\t" if suffix == ".tsv" else ","
+    quotes = spark.read.text(path).filter((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).limit(1).count()
+    # a line that leaves a quote open continues on the next; only then must one task read a whole file
+    return spark.read.csv(path, header=True, inferSchema=True, sep=sep, multiLine=bool(quotes))
+
+
+#: Numbers of the built-in cell formats that show dates or times; fixed values.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+
+
+def is_date_format(code: str) -> bool:
+    """Whether a cell format shows a date or time: a letter for one outside quotes, escapes and brackets."""
+    plain = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]|_.|\*.', "", code.split(";")[0])
+    return bool(re.search("[ymdhs]", plain, re.IGNORECASE)) and "general" not in plain.lower()
+
+
+def date_text(serial: float, from_1904: bool) -> str:
+    """A workbook's day number as date, date and time, or time of day. The first epoch counts a day that never was."""
+    days, seconds = divmod(round(serial * 86_400), 86_400)
+    time = str(timedelta(seconds=seconds)).zfill(8)
+    if not days:
+        return time
+    epoch = date(1904, 1, 1) if from_1904 else date(1899, 12, 30) if days > 60 else date(1899, 12, 31)
+    day = (epoch + timedelta(days=days)).isoformat()
+    return f"{day} {time}" if seconds else day
+
+
+def date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Which cell styles of a workbook show dates or times."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    name = lambda e: e.tag.rpartition("}")[2]
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    own = {int(e.attrib["numFmtId"]): e.attrib.get("formatCode", "") for e in root.iter() if name(e) == "numFmt"}
+    formats = [int(x.attrib.get("numFmtId", 0)) for e in root if name(e) == "cellXfs" for x in e if name(x) == "xf"]
+    return {i for i, f in enumerate(formats) if (is_date_format(own[f]) if f in own else f in DATE_FORMATS)}
 
 
 def _cell(text: str | None, kind: str | None, shared: list[str]):
@@ -53,8 +90,10 @@ def xlsx_sheets(path: str) -> dict[str, list[list]]:
             root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
             shared = ["".join(t.text or "" for t in si.iter() if name(t) == "t") for si in root if name(si) == "si"]
         links = {e.attrib["Id"]: e.attrib["Target"] for e in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-        out = {}
-        for sheet in (e for e in ElementTree.fromstring(book.read("xl/workbook.xml")).iter() if name(e) == "sheet"):
+        out, dated = {}, date_styles(book)
+        workbook = ElementTree.fromstring(book.read("xl/workbook.xml"))
+        from_1904 = any(e.attrib.get("date1904") in ("1", "true") for e in workbook.iter() if name(e) == "workbookPr")
+        for sheet in (e for e in workbook.iter() if name(e) == "sheet"):
             target = links[next(v for k, v in sheet.attrib.items() if k.endswith("}id"))].lstrip("/")
             rows = []
             for row in (e for e in ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}")).iter() if name(e) == "row"):
@@ -67,7 +106,10 @@ def xlsx_sheets(path: str) -> dict[str, list[list]]:
                     value = next((e.text for e in c if name(e) == "v"), None)
                     if c.attrib.get("t") == "inlineStr":
                         value = "".join(t.text or "" for t in c.iter() if name(t) == "t")
-                    cells[at - 1] = _cell(value, c.attrib.get("t"), shared)
+                    cell = _cell(value, c.attrib.get("t"), shared)
+                    if int(c.attrib.get("s", 0)) in dated and isinstance(cell, (int, float)) and not isinstance(cell, bool):
+                        cell = date_text(cell, from_1904)
+                    cells[at - 1] = cell
                 rows.append([cells.get(i) for i in range(max(cells, default=-1) + 1)])
             out[sheet.attrib["name"]] = rows
     return out
@@ -104,11 +146,16 @@ def narrated(df: DataFrame, part: str | None, describe, title: str) -> DataFrame
     return made.select(F.lit("").alias("section_order"), F.lit(title).alias("title"), "text", F.lit(None).cast("long").alias("num_exercises"), part_col, F.lit("tabular").alias("content_type"))
 
 
-def spreadsheet_sections(spark: SparkSession, path: str, sheet: int | str | None = 0) -> DataFrame:
-    """Sections of a CSV, TSV or XLSX file; `sheet` None takes all sheets, each named in `part`."""
-    stem = Path(path).stem
-    if Path(path).suffix.lower() in (".xlsx", ".xls"):
-        sheets = xlsx_sheets(path)
+def spreadsheet_sections(spark: SparkSession, path: str, sheet: int | str | None = 0, xls_reader: Callable[[str], dict[str, list[list]]] | None = None) -> DataFrame:
+    """Sections of a CSV, TSV or XLSX file; `sheet` None takes all sheets, each named in `part`.
+
+    Old binary workbooks (.xls) need a plugged-in reader: path -> sheet name -> rows of cell values.
+    """
+    stem, suffix = Path(path).stem, Path(path).suffix.lower()
+    if suffix == ".xls" and xls_reader is None:
+        raise ValueError("unsupported file type: .xls without a reader for it")
+    if suffix in (".xlsx", ".xls"):
+        sheets = xlsx_sheets(path) if suffix == ".xlsx" else xls_reader(path)
         chosen = list(sheets) if sheet is None else [sheet if isinstance(sheet, str) else list(sheets)[sheet]]
         tables = [(name if sheet is None else None, frame(spark, [str(c) for c in sheets[name][0]], sheets[name][1:])) for name in chosen if sheets[name]]
     else:

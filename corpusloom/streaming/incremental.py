@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.functions.text import full_clean, is_meaningful
 from corpusloom.operators.quality import dedup_key, fuzzy_dedup, validator
-from corpusloom.sources.records import CORRUPT, parse_lines
+from corpusloom.sources.records import CORRUPT, exists, parse_lines
 
 
 def stream_records(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 64) -> DataFrame:
@@ -31,18 +31,13 @@ def valid_stream(stream: DataFrame, kind: str) -> DataFrame:
     return stream.filter(validator(kind))
 
 
-def _has(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def start_validation(stream: DataFrame, kind: str, output: str, checkpoint: str, threshold: float = 85.0) -> StreamingQuery:
     """Append what passes validation and is new to `output`; a batch that is run again replaces its own folder."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("__pos", F.monotonically_increasing_id() + F.lit(1 << 62))
-        if _has(spark, output):
+        if exists(spark, output):
             kept = spark.read.parquet(output).filter(F.col("batch") < batch_id).drop("batch")
             rows = kept.withColumn("__pos", F.monotonically_increasing_id()).unionByName(rows)
         # earlier rows come first and were kept before, so they are kept again
