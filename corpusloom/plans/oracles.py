@@ -2,13 +2,42 @@
 
 from __future__ import annotations
 
-from corpusloom.functions.narrative import EFFORT, MOST_EFFORT
-from corpusloom.functions.text import ALPHA_WORD, CHAPTER_LINE, PAGE_NUMBER, REFERENCES, TOKEN, WORD, WORKS_CITED, WS
-from corpusloom.operators import export
-from corpusloom.operators.profile import INPUT_PRICE, LENGTH_BINS, OUTPUT_PRICE, PAUSE, bin_name
-from corpusloom.operators.sections import OPENINGS
+import unicodedata
+
 from corpusloom.plans.queries import SETTINGS
-from corpusloom.sources.registry import EXTRACTORS
+
+# What follows is written out here and not imported, so that a wrong value in the engine shows. All are fixed values.
+
+#: White space as code points that RE2 reads.
+SPACES = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WS, WORD = f"[{SPACES}]", f"[^{SPACES}]+"
+ALPHA_WORD = rf"[^{SPACES}]*\p{{L}}[^{SPACES}]*"
+PAGE_NUMBER = rf"^{WS}*\p{{Nd}}+{WS}*$"
+CHAPTER_LINE = rf"^{WS}*(Chapter|CHAPTER){WS}+\p{{Nd}}+{WS}*$"
+REFERENCES = rf"\n(References|REFERENCES|Bibliography|BIBLIOGRAPHY){WS}*\n[\s\S]*\z"
+WORKS_CITED = rf"\n(Works Cited|WORKS CITED){WS}*\n[\s\S]*\z"
+TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\x{09}-\x{0D} ]"
+OPENINGS = rf"(?i)^(Scientific Foundations|Practical/Applied|Domain{WS}+\p{{Nd}}|Chapter{WS}+\p{{Nd}}|Section{WS}+\p{{Nd}}|Part{WS}+\p{{Nd}})"
+EFFORT = [(5.0, "low difficulty"), (7.0, "moderate difficulty"), (8.5, "high difficulty")]
+MOST_EFFORT = "near-maximal effort"
+BINS = ["(0, 100]", "(100, 500]", "(500, 1000]", "(1000, 2000]", "(2000, 5000]", "(5000, 10000]", "(10000, 50000]", "(50000, inf]"]
+INPUT_PRICE, OUTPUT_PRICE, PAUSE = 3.0, 15.0, 0.5
+EXTRACTORS = {
+    "epub": "extract_epub", "pdf": "extract_pdf", "html": "extract_html", "image_ocr": "extract_ocr", "spreadsheet": "extract_spreadsheet", "csv": "extract_spreadsheet",
+    "xlsx": "extract_spreadsheet", "tsv": "extract_spreadsheet", "database": "extract_database", "sqlite": "extract_database", "json_db": "extract_database",
+}
+BOS, HEADER_START, HEADER_END, EOT = "<|begin_of_text|>", "<|start_header_id|>", "<|end_header_id|>", "<|eot_id|>"
+SYSTEM_MESSAGE = (
+    "You are a knowledgeable health and fitness professional with expertise in "
+    "exercise science, strength and conditioning, nutrition, physical therapy, "
+    "occupational therapy, and recovery. Provide accurate, evidence-based responses."
+)
+CONTINUE = "Continue the following: "
+CLASSIFY = "Classify the following health/fitness text into the most appropriate category: "
+LABELLED_AS = "This text falls under the category of: "
+#: Compatibility decompositions of the letters of the tables' languages, and plain forms of typographic marks.
+DECOMPOSED = {c: unicodedata.normalize("NFD", c) for c in "ÄÇÈÉÊÍÑÓÖÜäçèéêíñóöü"} | {"ﬁ": "fi", "…": "..."}
+PLAIN = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "\u00a0": " ", "\u200b": ""}
 
 
 def quote(text: str) -> str:
@@ -51,6 +80,12 @@ def residue(x: str) -> str:
     return sub(sub(sub(x, "<[^>]+>"), "&[a-zA-Z]+;", "' '"), r"&#\p{Nd}+;", "' '")
 
 
+def unicode(x: str) -> str:
+    for mark, plain in (DECOMPOSED | PLAIN).items():
+        x = f"replace({x}, {quote(mark)}, {quote(plain)})"
+    return x
+
+
 def is_upper(x: str) -> str:
     return f"({has(x, r'\p{Lu}')} AND NOT {has(x, r'[\p{Ll}\p{Lt}]')})"
 
@@ -119,10 +154,10 @@ VALID_LABEL = f"({strip('text')} <> '' AND {strip('label')} <> '' AND {words('te
 
 
 def turn(role: str, content: str) -> str:
-    return f"{quote(export.HEADER_START)} || {role} || {quote(export.HEADER_END)} || {NL} || {NL} || {content} || {quote(export.EOT)}"
+    return f"{quote(HEADER_START)} || {role} || {quote(HEADER_END)} || {NL} || {NL} || {content} || {quote(EOT)}"
 
 
-PROLOGUE = f"{quote(export.BOS)} || {turn(quote('system'), quote(export.SYSTEM_MESSAGE))}"
+PROLOGUE = f"{quote(BOS)} || {turn(quote('system'), quote(SYSTEM_MESSAGE))}"
 
 
 def exchange(user: str, assistant: str) -> str:
@@ -131,8 +166,8 @@ def exchange(user: str, assistant: str) -> str:
 
 QA_TEXT = exchange("instruction", "response")
 CONVERSATION_TEXT = f"{PROLOGUE} || array_to_string(list_transform(messages, lambda m: {turn('m.role', 'm.content')}), '')"
-COMPLETION_TEXT = exchange(f"{quote(export.CONTINUE)} || prompt", "completion")
-LABEL_TEXT = exchange(quote(export.CLASSIFY) + " || '\"' || text || '\"'", f"{quote(export.LABELLED)} || label")
+COMPLETION_TEXT = exchange(f"{quote(CONTINUE)} || prompt", "completion")
+LABEL_TEXT = exchange(quote(CLASSIFY) + " || '\"' || text || '\"'", f"{quote(LABELLED_AS)} || label")
 UNION = f"""{MESSAGES}, {QA}, {COMPLETIONS}, {LABELLED}, examples AS (
   SELECT {QA_TEXT} AS text, 'qa' AS format, source_id FROM qa WHERE {VALID_QA}
   UNION ALL SELECT {CONVERSATION_TEXT}, 'conversation', 'conv' || conv_id FROM messages WHERE {VALID_CONVERSATION}
@@ -144,6 +179,12 @@ SPLIT = f"""{UNION}, ranked AS (
 ), split AS (
   SELECT text, format, source_id, CASE WHEN r <= floor(n * 0.8::DOUBLE) THEN 'train' WHEN r <= floor(n * 0.8::DOUBLE) + floor(n * 0.1::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM ranked
 )"""
+#: Conversations and, a million on, the same with " indeed" after their first message. A ratio of 200 L / (2 L + 7)
+#: makes the second one alike; no two others are.
+VARIED = f"""{MESSAGES}, varied AS (
+  SELECT conv_id, {VALID_CONVERSATION} AS valid, coalesce(messages[1].content, '') AS key, false AS alike FROM messages
+  UNION ALL SELECT conv_id + 1000000, {VALID_CONVERSATION}, coalesce(messages[1].content, '') || ' indeed', coalesce(messages[1].content, '') <> '' AND 200.0 * length(messages[1].content) / (2 * length(messages[1].content) + 7) > 85 FROM messages
+)"""
 KINDS = ", ".join(quote(k) for k in [*EXTRACTORS, "floppy_disk"])
 REGISTRY = f"""registry AS (
   SELECT source AS id, [{KINDS}][substr(source, 4)::INT % {len(EXTRACTORS) + 1} + 1] AS type, 'data/' || source AS path, list_distinct(list(lang)) AS topics, substr(source, 4)::INT % 7 = 3 AS missing FROM documents GROUP BY source
@@ -164,7 +205,7 @@ WHITESPACE_RAW = f"'  ' || chr(9) || replace(text, '. ', '.' || chr(9) || '  ')
 ARTIFACT_RAW = f"'Chapter 3' || {NL} || replace(text, {NL}, {NL} || ' 42 ' || {NL}) || {NL} || 'CHAPTER 12  ' || {NL} || 'rest of 7 pages'"
 REFERENCE_RAW = f"text || {NL} || 'References ' || {NL} || '[1] one' || {NL} || CASE WHEN doc_id % 2 = 0 THEN {NL} || 'Works Cited' || {NL} || ' two' ELSE '' END"
 FULL_RAW = f"'<p>' || replace(text, {NL}, '&nbsp;<br>' || {NL} || {NL} || {NL} || {NL} || ' 17 ' || {NL}) || {NL} || 'Chapter 9' || {NL} || '</p>'"
-MEANINGFUL_RAW = "CASE WHEN doc_id % 3 = 0 THEN '1 2 3 4 5 6 7 8 9 10 11 12 ' || substr(text, 1, 60) ELSE text END"
+MEANINGFUL_RAW = "CASE WHEN doc_id % 3 = 0 THEN replace(text, ' ', ' 7 7 ') ELSE text END"
 
 
 def sectioned(key: str, source: str, heading: str, body: str) -> str:
@@ -215,7 +256,8 @@ SQL: dict[str, str] = {
     "page_artifacts": f"SELECT doc_id, {artifacts(ARTIFACT_RAW)} AS cleaned FROM documents",
     "references_removed": f"SELECT doc_id, {sub(sub(REFERENCE_RAW, REFERENCES), WORKS_CITED)} AS cleaned FROM documents",
     "html_residue": f"SELECT page_id, {residue(quote('') + ' || html || ' + quote('&#169;&frac12;&eacute;'))} AS cleaned FROM pages",
-    "full_clean": f"SELECT doc_id, {whitespace(artifacts(residue(FULL_RAW)))} AS cleaned FROM documents",
+    "full_clean": f"SELECT doc_id, {whitespace(artifacts(residue(unicode(FULL_RAW))))} AS cleaned FROM documents",
+    "normalize_unicode": f"SELECT doc_id, {unicode(quote('“ﬁne” – it’s…') + ' || text')} AS cleaned FROM documents",
     "meaningful_text": f"SELECT doc_id, {words('t')}::BIGINT AS words, {meaningful('t')}::BIGINT AS meaningful, {meaningful('t', 5)}::BIGINT AS meaningful_5 FROM (SELECT doc_id, {MEANINGFUL_RAW} AS t FROM documents)",
     "sentence_split": f"SELECT doc_id, generate_subscripts(ss, 1) - 1 AS pos, unnest(ss) AS sentence FROM (SELECT doc_id, string_split({sub('text', f'([.!?]){WS}+', quote(chr(92) + '1') + ' || chr(1)')}, chr(1)) AS ss FROM documents)",
     "token_estimates": f"SELECT doc_id, {count('text', TOKEN)}::BIGINT AS tokens, (length(text) // 4)::BIGINT AS char_tokens, CASE WHEN length(text) > 120 THEN substr(text, 1, 120) || '...' ELSE text END AS preview, {chunk_id('source', 'doc_id')} AS chunk_id FROM documents",
@@ -253,7 +295,7 @@ SELECT source_id, chunk_index, {chunk_id('source_id', 'chunk_index')} AS chunk_i
 """,
     "chunk_stats": "SELECT count(n_chars) AS count, round(avg(n_chars), 6) AS mean, round(stddev_samp(n_chars), 6) AS std, min(n_chars)::DOUBLE AS min, round(quantile_cont(n_chars, 0.25), 6) AS p25, round(quantile_cont(n_chars, 0.5), 6) AS p50, round(quantile_cont(n_chars, 0.75), 6) AS p75, max(n_chars)::DOUBLE AS max FROM documents",
     "extraction_summary": "SELECT lang, source, count(*) AS sections, sum(length(text))::BIGINT AS chars FROM documents GROUP BY ROLLUP (lang, source)",
-    "length_histogram": "WITH l AS (SELECT length(text) AS n FROM documents) " + " UNION ALL ".join(f"SELECT {i}::BIGINT AS bin_no, '{bin_name(lo, hi)}' AS bin, count(*) AS count FROM l WHERE n > {lo}" + (f" AND n <= {hi}" if hi else "") for i, (lo, hi) in enumerate(LENGTH_BINS)),
+    "length_histogram": "WITH l AS (SELECT length(text) AS n FROM documents) " + " UNION ALL ".join(f"SELECT {i}::BIGINT AS bin_no, '{b}' AS bin, count(*) AS count FROM l WHERE n > {b[1:].split(',')[0]}" + ("" if "inf" in b else f" AND n <= {b.split(', ')[1][:-1]}") for i, b in enumerate(BINS)),
     "extremes": "(SELECT 'shortest' AS which, doc_id AS pos, length(text)::BIGINT AS length FROM documents ORDER BY 3, 2 LIMIT 1) UNION ALL (SELECT 'longest', doc_id, length(text)::BIGINT FROM documents ORDER BY 3 DESC, 2 LIMIT 1)",
     "value_counts": "SELECT source, lang, count(*) AS count FROM documents GROUP BY ALL",
     "describe_strings": " UNION ALL ".join(summaries(c) for c in ("lang", "source", "text")),
@@ -268,6 +310,41 @@ SELECT source_id, chunk_index, {chunk_id('source_id', 'chunk_index')} AS chunk_i
     "validate_conversation": f"WITH {MESSAGES} SELECT conv_id, {VALID_CONVERSATION}::BIGINT AS valid FROM messages",
     "validate_completion": f"WITH {COMPLETIONS} SELECT pos, {VALID_COMPLETION}::BIGINT AS valid FROM completions",
     "validate_classification": f"WITH {LABELLED} SELECT pos, {VALID_LABEL}::BIGINT AS valid FROM labelled",
+    "fuzzy_dedup": f"WITH {VARIED} SELECT conv_id FROM varied WHERE key <> '' AND NOT alike",
+    "near_dup_pairs": f"WITH {QA}, firsts AS (SELECT instruction, min(pos) AS pos FROM qa WHERE instruction <> '' GROUP BY instruction) SELECT pos AS a, pos + 1000000 AS b FROM firsts WHERE 200.0 * length(instruction) / (2 * length(instruction) + 7) > 85",
+    "validation_stats": f"""
+WITH {VARIED}
+SELECT 'conversations' AS dataset, count(*) AS total, count(*) FILTER (valid AND alike) AS duplicates_removed, count(*) FILTER (NOT valid) AS low_quality_removed, 0::BIGINT AS format_errors_removed, count(*) FILTER (valid AND NOT alike) AS passed FROM varied
+""",
+    "indel_similarity": """
+WITH RECURSIVE p AS (SELECT a.item_id, a.text AS a, b.text AS b FROM benchmark a JOIN benchmark b ON b.item_id = a.item_id + 1),
+walk AS (
+  SELECT item_id, 0 AS i, list_transform(range(length(b)), lambda x: 0::INT) AS r FROM p
+  UNION ALL
+  SELECT item_id, i + 1, list(m ORDER BY j) FROM (
+    SELECT w.item_id, w.i, t.j, max(greatest(w.r[t.j], coalesce(w.r[t.j - 1], 0) + CASE WHEN p.a[w.i + 1] = p.b[t.j] THEN 1 ELSE 0 END)) OVER (PARTITION BY w.item_id ORDER BY t.j ROWS UNBOUNDED PRECEDING)::INT AS m
+    FROM walk w JOIN p USING (item_id), LATERAL (SELECT unnest(range(1, length(p.b) + 1)) AS j) t WHERE w.i < length(p.a)
+  ) GROUP BY item_id, i
+)
+SELECT w.item_id, round(200.0 * w.r[len(w.r)] / (length(p.a) + length(p.b)), 6) AS ratio FROM walk w JOIN p USING (item_id) WHERE w.i = length(p.a)
+""",
+    "parse_responses": "SELECT conv_id || '-' || turn AS chunk_id, role AS instruction, text AS response FROM conversations, range(CASE WHEN (conv_id + turn) % 4 = 2 THEN 2 ELSE 1 END) WHERE role IS NOT NULL AND text IS NOT NULL",
+    "records_round_trip": f"SELECT {chunk_id('source', 'doc_id')} AS chunk_id, source AS source_id, text, (length(text) // 4)::BIGINT AS token_count FROM documents",
+    "tolerant_lines": "SELECT doc_id % 5 <> 0 AS good, CASE WHEN doc_id % 5 <> 0 THEN text END AS text, lang AS label FROM documents WHERE doc_id % 5 <> 0 UNION ALL SELECT false, NULL, '{\"text\": broken ' || doc_id FROM documents WHERE doc_id % 5 = 0",
+    "sample_files": "SELECT text, lang AS label FROM documents UNION ALL SELECT text, 'item' FROM benchmark",
+    "line_counts": "SELECT count(*) AS records FROM documents",
+    "documents_round_trip": "SELECT source AS source_id, CASE WHEN lang = 'en' THEN 'prose' ELSE 'tabular' END AS doc_type, row_number() OVER (PARTITION BY source, lang = 'en' ORDER BY doc_id) - 1 AS section_pos, 'T' || doc_id AS title, text, lang AS content_type FROM documents",
+    "splits_round_trip": f"WITH {SPLIT} SELECT md5(text) AS text_md5, format, split FROM split WHERE format <> 'classification'",
+    "csv_sessions": f"""
+WITH {NARRATED.replace("CASE WHEN event_id % 2 = 0 THEN (event_id % 11)::DOUBLE END AS rpe, props AS notes", "CASE WHEN event_id % 2 = 0 THEN (event_id % 11)::DOUBLE END AS rpe, NULL::VARCHAR AS notes")}
+SELECT date, 'Training Session - ' || any_value(long_date) AS title, count(*) AS num_exercises,
+  'Training session on ' || any_value(long_date) || ':' || {NL} || string_agg('  - ' || coalesce(line, ''), {NL} ORDER BY pos) ||
+  CASE WHEN coalesce(sum(sets), 0) <> 0 AND count(exercise) > 0 THEN {NL} || {NL} || 'Session summary: ' || count(exercise) || ' exercises, ' || sum(sets)::BIGINT || ' total sets across ' || string_agg(exercise, ', ' ORDER BY pos) || '.' ELSE '' END AS text
+FROM narrated GROUP BY date
+""",
+    "chunk_totals": f"WITH t AS (SELECT {count('text', TOKEN)}::BIGINT AS n FROM documents) SELECT count(*) AS chunks, sum(n)::BIGINT AS total_tokens, round(avg(n), 6) AS avg_tokens FROM t",
+    "registry_lookup": f"WITH {REGISTRY} SELECT 'id' AS by, id, type FROM registry WHERE id = (SELECT min(source) FROM documents) UNION ALL SELECT 'type', id, type FROM registry WHERE type = 'csv'",
+    "dedup_keys": f"WITH {MESSAGES} SELECT 'c' || conv_id AS id, coalesce(messages[1].content, '') AS key FROM messages UNION ALL SELECT 'd' || doc_id, coalesce(text, '') FROM documents",
     "prompt_render": f"""
 WITH chunks AS (SELECT {chunk_id('source', 'doc_id')} AS chunk_id, doc_id % 3 = 0 AS tabular, text FROM documents)
 SELECT chunk_id, 'qa' AS kind, CASE WHEN tabular THEN {filled(SETTINGS.prompt('training_log_qa_instruction'), 5)} ELSE {filled(SETTINGS.prompt('qa_instruction'), 5)} END AS user_prompt FROM chunks
@@ -285,7 +362,7 @@ SELECT round(i, 4) AS avg_input, round(o, 4) AS avg_output, round(i * n, 4) AS t
     "format_conversation": f"WITH {MESSAGES} SELECT conv_id, {CONVERSATION_TEXT} AS text FROM messages",
     "format_completion": f"WITH {COMPLETIONS} SELECT pos, {COMPLETION_TEXT} AS text FROM completions",
     "format_classification": f"WITH {LABELLED} SELECT pos, {LABEL_TEXT} AS text FROM labelled",
-    "inference_prompt": f"SELECT item_id, {PROLOGUE} || {turn(quote('user'), 'text')} || {quote(export.HEADER_START + 'assistant' + export.HEADER_END)} || {NL} || {NL} AS text FROM benchmark",
+    "inference_prompt": f"SELECT item_id, {PROLOGUE} || {turn(quote('user'), 'text')} || {quote(HEADER_START + 'assistant' + HEADER_END)} || {NL} || {NL} AS text FROM benchmark",
     "format_counts": f"WITH {UNION} SELECT format, count(*) AS count FROM examples GROUP BY format",
     "stratified_split": f"WITH {SPLIT} SELECT md5(text) AS text_md5, format, source_id, split FROM split",
     "split_summary": f"WITH {SPLIT} SELECT split, 'format' AS kind, format AS value, count(*) AS count FROM split GROUP BY ALL UNION ALL SELECT split, 'source', source_id, count(*) FROM split GROUP BY ALL",
@@ -294,9 +371,17 @@ WITH raw AS (
   SELECT page_id, url, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, regexp_replace(regexp_extract(html, '<article>((?s:.*?))</article>', 1), '(<[^>]+>)+', {NL}, 'g') AS t FROM pages
 ), plain AS (
   SELECT page_id, url, replace(replace(replace(title, '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS title, replace(replace(replace(t, '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS t FROM raw
-), cleaned AS (SELECT page_id, coalesce(nullif({strip('title')}, ''), url) AS title, {whitespace(artifacts(residue('t')))} AS text FROM plain)
+), cleaned AS (SELECT page_id, coalesce(nullif({strip('title')}, ''), url) AS title, {whitespace(artifacts(residue(unicode('t'))))} AS text FROM plain)
 SELECT page_id, title, text FROM cleaned WHERE {meaningful('text')}
+""",
+    "html_article_text": f"""
+WITH raw AS (
+  SELECT page_id, regexp_replace(replace(regexp_replace(regexp_extract(html, '<article>((?s:.*?))</article>', 1), '</?b>', '', 'g'), '<br>', {NL}), '\\s*(<[^>]+>)+\\s*', {NL}, 'g') AS t FROM pages
+), plain AS (
+  SELECT page_id, replace(replace(replace(t, '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS t FROM raw
+), cleaned AS (SELECT page_id, {whitespace(artifacts(residue(unicode('t'))))} AS text FROM plain)
+SELECT page_id, text FROM cleaned WHERE {meaningful('text')}
 """,
     "stream_windowed_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS count FROM events GROUP BY ALL",
-    "stream_clean": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {whitespace(artifacts(residue('(text || ' + NL + " || ' 42 ' || " + NL + ')')))} AS t FROM documents) WHERE {meaningful('t')}",
+    "stream_clean": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {whitespace(artifacts(residue('(' + unicode('text') + '  || ' + NL + " || ' 42 ' || " + NL + ')')))} AS t FROM documents) WHERE {meaningful('t')}",
 }

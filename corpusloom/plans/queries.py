@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from corpusloom.functions import narrative, similarity, text
 from corpusloom.operators import chunk, export, generate, narrate, profile, quality, sampling, sections
 from corpusloom.operators.lineage import cut
-from corpusloom.sources import markup, registry
+from corpusloom.sources import markup, records, registry, tabular
 from corpusloom.sources.config import Settings
 from corpusloom.streaming import incremental
 
@@ -121,9 +121,8 @@ def html_residue(spark, sf_dir):
 
 
 def full_clean(spark, sf_dir):
-    """Without the Unicode step, which has no SQL form; see normalize_unicode."""
     raw = F.concat(F.lit("<p>"), F.replace("text", F.lit("\n"), F.lit("&nbsp;<br>\n\n\n\n 17 \n")), F.lit("\nChapter 9\n</p>"))
-    return _docs(spark, sf_dir).select("doc_id", text.full_clean(raw, unicode=False).alias("cleaned"))
+    return _docs(spark, sf_dir).select("doc_id", text.full_clean(raw).alias("cleaned"))
 
 
 def normalize_unicode(spark, sf_dir):
@@ -132,7 +131,8 @@ def normalize_unicode(spark, sf_dir):
 
 
 def meaningful_text(spark, sf_dir):
-    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("1 2 3 4 5 6 7 8 9 10 11 12 "), F.substring("text", 1, 60))).otherwise(F.col("text"))
+    """Whole texts; numbers between the words of every third one make most of its words hold no letter."""
+    raw = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit(" "), F.lit(" 7 7 "))).otherwise(F.col("text"))
     return _docs(spark, sf_dir).select("doc_id", *[e.cast("long").alias(n) for n, e in (("words", text.word_count(raw)), ("meaningful", text.is_meaningful(raw)), ("meaningful_5", text.is_meaningful(raw, 5)))])
 
 
@@ -281,20 +281,115 @@ def validate_classification(spark, sf_dir):
     return labelled_texts(spark, sf_dir).select("pos", quality.valid_classification().cast("long").alias("valid"))
 
 
+def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations and, a million on, the same with a word more after their first message."""
+    items = messages(spark, sf_dir)
+    more = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when(i == 0, F.concat(m["content"], F.lit(" indeed"))).otherwise(m["content"]).alias("content")))
+    return items.unionByName(items.select((F.col("conv_id") + 1_000_000).alias("conv_id"), more.alias("messages")))
+
+
 def fuzzy_dedup(spark, sf_dir):
     """Conversations by their first message."""
-    items = messages(spark, sf_dir)
+    items = varied(spark, sf_dir)
     return quality.fuzzy_dedup(items, quality.dedup_key("conversations"), "conv_id").select("conv_id")
 
 
 def near_dup_pairs(spark, sf_dir):
     """Question pairs over 85 alike, on the distinct instructions."""
     keys = qa_pairs(spark, sf_dir).groupBy(F.col("instruction").alias("key")).agg(F.min("pos").alias("pos")).filter("key <> ''")
+    keys = keys.unionByName(keys.select(F.concat("key", F.lit(" indeed")).alias("key"), (F.col("pos") + 1_000_000).alias("pos")))
     return quality.similar_pairs(keys)
 
 
 def validation_stats(spark, sf_dir):
-    return quality.validate_dataset(messages(spark, sf_dir), "conversations", "conv_id")[1]
+    return quality.validate_dataset(varied(spark, sf_dir), "conversations", "conv_id")[1]
+
+
+def dedup_keys(spark, sf_dir):
+    c = messages(spark, sf_dir).select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("id"), quality.dedup_key("conversations").alias("key"))
+    return c.unionByName(_docs(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), quality.dedup_key("classification").alias("key")))
+
+
+def registry_lookup(spark, sf_dir):
+    rows = source_registry(spark, sf_dir)
+    first = _docs(spark, sf_dir).agg(F.min("source")).first()[0]
+    one = sampling.by_id(rows, first or "").select(F.lit("id").alias("by"), "id", "type")
+    return one.unionByName(sampling.by_type(rows, "csv").select(F.lit("type").alias("by"), "id", "type"))
+
+
+# --- files: written by the sinks and read back -------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    cut(spark.range(0))
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def records_round_trip(spark, sf_dir):
+    """Chunks as JSON lines, the second half appended as a resumed run does."""
+    at, d = _folder(spark, "records"), _docs(spark, sf_dir)
+    chunks = d.select("doc_id", text.chunk_id(F.col("source"), F.col("doc_id")).alias("chunk_id"), F.col("source").alias("source_id"), "text", text.char_token_estimate(F.col("text")).alias("token_count"))
+    records.write_records(chunks.filter("doc_id % 2 = 0").drop("doc_id"), at)
+    records.write_records(chunks.filter("doc_id % 2 <> 0").drop("doc_id"), at, resume=True)
+    return records.read_jsonl(spark, at, records.CHUNK).select("chunk_id", "source_id", "text", "token_count")
+
+
+def tolerant_lines(spark, sf_dir):
+    """JSON lines of which every fifth is broken, with blank lines between."""
+    at = _folder(spark, "lines")
+    whole = F.to_json(F.struct("text", F.col("lang").alias("label")))
+    line = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('{"text": broken '), F.col("doc_id").cast("string"))).otherwise(F.concat(whole, F.lit("\n")))
+    _docs(spark, sf_dir).select(line.alias("value")).write.text(at)
+    good, bad = records.read_tolerant(spark, at, records.RECORDS["classification"])
+    return good.select(F.lit(True).alias("good"), "text", "label").unionByName(bad.select(F.lit(False).alias("good"), F.lit(None).cast("string").alias("text"), F.col(records.CORRUPT).alias("label")))
+
+
+def sample_files(spark, sf_dir):
+    """Records of JSON lines and of a file that holds one list."""
+    lines, whole = _folder(spark, "lines"), _folder(spark, "list")
+    records.write_records(_docs(spark, sf_dir).select("text", F.col("lang").alias("label")), lines)
+    items = table(spark, sf_dir, "benchmark").agg(F.to_json(F.collect_list(F.struct("text", F.lit("item").alias("label")))).alias("value"))  # one small file
+    items.coalesce(1).write.text(whole)
+    return records.read_samples(spark, records.RECORDS["classification"], lines, whole).select("text", "label")
+
+
+def line_counts(spark, sf_dir):
+    at = _folder(spark, "counts")
+    records.write_records(_docs(spark, sf_dir).select("doc_id", "text"), at)
+    return records.file_counts(spark, at).filter("file IS NULL").select("records")
+
+
+def documents_round_trip(spark, sf_dir):
+    """Documents of many sections, several of a folder, written and read as sections."""
+    d = _docs(spark, sf_dir)
+    kind = F.when(F.col("lang") == "en", "prose").otherwise("tabular")
+    made = d.select(
+        F.when(F.col("lang") == "en", "articles").otherwise("training_logs").alias("folder"), F.col("source").alias("source_id"), F.lit("html").alias("source_type"), kind.alias("doc_type"),
+        F.col("doc_id").cast("int").alias("section_pos"), F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"), "text", F.create_map(F.lit("content_type"), F.col("lang")).alias("metadata"),
+    )
+    at = _folder(spark, "documents")
+    records.write_documents(made, at)
+    return records.read_documents(spark, at).select("source_id", "doc_type", *big("section_pos"), "title", "text", "content_type")
+
+
+def splits_round_trip(spark, sf_dir):
+    at = _folder(spark, "splits")
+    export.save_splits(export.stratified_split(training_union(spark, sf_dir)), at)
+    return spark.read.json(at).filter("format <> 'classification'").select(F.md5("text").alias("text_md5"), "format", "split")
+
+
+def csv_sessions(spark, sf_dir):
+    """A training log as one CSV file, read with inferred types and narrated by day."""
+    at = _folder(spark, "log") + ".csv"
+    training_log(spark, sf_dir).orderBy("pos").drop("pos", "user_id", "remarks").coalesce(1).write.csv(at, header=True)
+    made = tabular.spreadsheet_sections(spark, at)
+    return made.select(F.col("section_order").alias("date"), "title", "num_exercises", "text")
+
+
+def chunk_totals(spark, sf_dir):
+    chunks = _docs(spark, sf_dir).select(text.token_count(F.col("text")).cast("long").alias("token_count"))
+    return chunk.chunk_totals(chunks).select(*big("chunks", "total_tokens"), F.round("avg_tokens", 6).alias("avg_tokens"))
 
 
 # --- generation ------------------------------------------------------------------------------------------------
@@ -414,10 +509,16 @@ def split_summary(spark, sf_dir):
 
 def html_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    made = markup.html_sections(pages, "html", F.col("url"), unicode=False)
+    made = markup.html_sections(pages, "html", F.col("url"), main=False)
     return made.select("page_id", "title", "text")
 
 
+def html_article_text(spark, sf_dir):
+    """The main-text path."""
+    made = markup.html_sections(table(spark, sf_dir, "pages"), "html", F.col("url"))
+    return made.select("page_id", "text")
+
+
 # --- streams ---------------------------------------------------------------------------------------------------
 
 
@@ -449,7 +550,7 @@ def stream_windowed_counts(spark, sf_dir):
 def stream_clean(spark, sf_dir):
     """Documents cleaned as they arrive; row-local, so batches don't matter."""
     docs = _arriving(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n 42 \n")).alias("text"))
-    cleaned = docs.withColumn("text", text.full_clean(F.col("text"), unicode=False)).filter(text.is_meaningful(F.col("text")))
+    cleaned = docs.withColumn("text", text.full_clean(F.col("text"))).filter(text.is_meaningful(F.col("text")))
     return _drain(cleaned, "append", "clean").select("doc_id", "text")
 
 
@@ -460,7 +561,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     sample_head, random_sample, resume_anti, resume_then_head, registry_filter, registry_validate,
     validate_qa, validate_conversation, validate_completion, validate_classification, fuzzy_dedup, near_dup_pairs, validation_stats,
     prompt_render, parse_responses, run_model, results_summary, compare_prompts, cost_estimate, perplexity,
-    format_qa, format_conversation, format_completion, format_classification, inference_prompt, format_counts, stratified_split, split_summary, html_main_text, stream_windowed_counts, stream_clean,
+    format_qa, format_conversation, format_completion, format_classification, inference_prompt, format_counts, stratified_split, split_summary, html_main_text, html_article_text,
+    dedup_keys, registry_lookup, records_round_trip, tolerant_lines, sample_files, line_counts, documents_round_trip, splits_round_trip, csv_sessions, chunk_totals, stream_windowed_counts, stream_clean,
 ]
 
 
