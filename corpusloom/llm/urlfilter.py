@@ -9,7 +9,7 @@ Defined results: a url that is null or has no "://" has empty host and path and
 empty url are zeros; urls of any length are read whole; without labels, or with labels of one kind, the verdict is that
 kind (allow if there are none); of splits of equal gain the first feature by name and the lowest bin win; repeated rows
 get the same verdict; other columns are left alone by `judge`, which adds names with a prefix; an empty table gives an
-empty result. A suffix's statistic is its rate of blocked urls, for a labelled url without its own label.
+empty result. Suffix statistics are smoothed rates of blocked urls, for the urls of a fold from the other folds.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ from corpusloom.llm.common import ascii_lower, cut, temp
 SCALE = 1 << 20
 #: Rows that the mean rate weighs in the rate of a suffix.
 PRIOR = 4
-FEATURES = ("length", "depth", "digit_ratio", "entropy", "parameters", "host_labels", "hyphens", "suffix_rate")
+FEATURES = ("length", "depth", "digit_ratio", "entropy", "parameters", "host_labels", "hyphens", "suffix_rate", "section_rate")
+#: Folds of the labelled urls; a url's rates come from the other folds.
+FOLDS = 5
 
 
 def host(url: Column) -> Column:
@@ -61,6 +63,13 @@ def suffix(host_: Column) -> Column:
     return F.substring_index(host_, ".", -2)
 
 
+def statistics(url: Column) -> dict[str, Column]:
+    """What rates of blocked urls are kept of: the host's suffix, alone and with the first label of the path."""
+    u = F.coalesce(url, F.lit(""))
+    own = suffix(host(u))
+    return {"suffix_rate": own, "section_rate": F.concat_ws("/", own, F.regexp_extract(path(u), "^/([^/]*)", 1))}
+
+
 def lexical(url: Column) -> dict[str, Column]:
     u = F.coalesce(url, F.lit(""))
     n = F.greatest(F.length(u), F.lit(1)).cast("double")
@@ -79,21 +88,23 @@ def lexical(url: Column) -> dict[str, Column]:
 
 @dataclass
 class Model:
-    """Bin edges of each feature, trees as (feature, bin, leaf values or splits), smoothed rates of suffixes."""
+    """Bin edges of each feature, trees as (feature, bin, leaf values or splits), smoothed rates by statistic and value."""
 
     base: float
     edges: dict[str, list[float]]
     trees: list[tuple]
-    rates: dict[str, float]
+    rates: dict[str, dict[str, float]]
     rate: float
 
     def measure(self, pages: DataFrame, url: Column) -> DataFrame:
-        """`pages` with the features of `url`, named by `temp`. The suffixes' rates, `max_rows` at most, are broadcast."""
-        name, known = temp("suffix"), temp("known")
-        rates = pages.sparkSession.createDataFrame(pa.table({name: pa.array(list(self.rates), pa.string()), known: pa.array(list(self.rates.values()), pa.float64())}))
-        met = pages.withColumn(name, suffix(host(F.coalesce(url, F.lit(""))))).join(F.broadcast(rates), name, "left")
-        values = lexical(url) | {"suffix_rate": F.coalesce(known, F.lit(self.rate))}
-        return met.withColumns({temp(f): c for f, c in values.items()}).drop(name, known)
+        """`pages` with the features of `url`, named by `temp`. The rates, at most `max_rows` of each kind, are broadcast."""
+        values, own = lexical(url), temp("value")
+        for name, value in statistics(url).items():
+            rates = self.rates.get(name, {})
+            table = pages.sparkSession.createDataFrame(pa.table({own: pa.array(list(rates), pa.string()), temp(name): pa.array(list(rates.values()), pa.float64())}))
+            pages = pages.withColumn(own, value).join(F.broadcast(table), own, "left").drop(own)
+            values[name] = F.coalesce(temp(name), F.lit(self.rate))
+        return pages.withColumns({temp(f): c for f, c in values.items()})
 
     def margin(self, values: dict[str, Column], edges: dict[str, list[float]] | None = None) -> Column:
         out = F.lit(self.base)
@@ -146,19 +157,24 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked",
     # about twice as many as wanted are drawn by hash first, so that the ordered limit doesn't grow with the tasks
     share = min(1.0, (2 * max_rows + 100) / max(1, rows.count()))
     rows = rows.withColumn("r", F.xxhash64("url", "y")).filter(F.pmod("r", F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("r", "url").limit(max_rows)
-    plain = lexical(F.col("url"))
-    rows = cut(rows.select("y", suffix(host(F.col("url"))).alias("suffix"), *[c.alias(f) for f, c in plain.items()]))
+    values, plain = statistics(F.col("url")), lexical(F.col("url"))
+    fold = F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS))
+    rows = cut(rows.select("y", fold.alias("fold"), *[c.alias(f"of_{f}") for f, c in values.items()], *[c.alias(f) for f, c in plain.items()]))
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
     if not n or positive in (0, n):
         import math
 
         return Model(math.log(19.0) if n and positive else -math.log(19.0), {}, [], {}, 0.0)
     share = positive / n
-    sums = cut(rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("k")))  # `max_rows` at most
-    rates = {r["suffix"]: (r["k"] + PRIOR * share) / (r["n"] + PRIOR) for r in sums.orderBy("suffix").collect()}
-    model = Model(0.0, {}, [], rates, share)
-    # a row's own label isn't among those that make its rate
-    rows = rows.join(F.broadcast(sums), "suffix").withColumn("suffix_rate", (F.col("k") - F.col("y") + PRIOR * share) / (F.col("n") - 1 + PRIOR))
+    model = Model(0.0, {}, [], {}, share)
+    smooth = lambda k, n: (k + PRIOR * share) / (n + PRIOR)
+    for name in values:  # a row's rates leave its fold out: rates with its own label would tell the label
+        own = f"of_{name}"
+        sums = cut(rows.groupBy(own, "fold").agg(F.count("*").alias("n"), F.sum("y").alias("k")))  # `max_rows` at most
+        whole = sums.groupBy(own).agg(F.sum("n").alias("all_n"), F.sum("k").alias("all_k"))
+        model.rates[name] = {r[own]: smooth(r["all_k"], r["all_n"]) for r in whole.orderBy(own).collect()}
+        met = sums.join(whole, own).select(own, "fold", smooth(F.col("all_k") - F.col("k"), F.col("all_n") - F.col("n")).alias(name))
+        rows = rows.join(F.broadcast(met), [own, "fold"])
     cuts = [i / bins for i in range(1, bins)]
     edges = rows.agg(*[F.percentile_approx(f, cuts, 10_000).alias(f) for f in FEATURES]).first()
     model.edges = {f: sorted(set(edges[f])) for f in FEATURES}
