@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import MOST_SENT, cut
+from corpusloom.session import ship
 
 #: Vectors of a block, and the least that is worth a block of its own.
 BLOCK_ROWS, LEAST_ROWS = 65_536, 4_096
@@ -185,6 +186,7 @@ def _block(k: int, kept: str, tables: int, seed: int, everything: bool, chunk: i
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, seed: int = 7, part_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank (from 1), id, score: the k nearest other rows found for each row where `is_query` holds."""
+    ship(vectors.sparkSession)
     spark = vectors.sparkSession
     kept = "<f4" if isinstance(vectors.select(vector_col).schema[0].dataType.elementType, T.FloatType) else "<f8"
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))

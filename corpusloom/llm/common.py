@@ -19,17 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder, so that a lost executor costs no earlier stage.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only where that is unset (tests) one is made.
+    The folder is the one the cluster names in spark.checkpoint.dir. Only a local session (tests) makes one where that is
+    unset; elsewhere executors could not read what others have written, so it is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", "") and not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-    elif not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def text_slices(texts: pa.Array, rows: int = 256) -> Iterator[list[str | None]]:
     """The strings of an Arrow array, `rows` at a time: a batch may hold thousands of long texts, and only a slice of
     them is ever turned into Python strings. An empty array gives one empty slice."""

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import text_slices
+from corpusloom.session import ship
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -376,4 +377,5 @@ def _texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """`pages` with the main text in `text_col`."""
+    ship(pages.sparkSession)
     return pages.withColumn(text_col, F.arrow_udf(_texts, "string")(F.col(html_col).cast("string")))

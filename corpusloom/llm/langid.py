@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.common import text_slices
+from corpusloom.session import ship
 
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that stand for letters: ASCII letters and every byte of longer UTF-8 sequences.
@@ -166,6 +167,7 @@ def sample(docs: DataFrame, labelled: Column, id_col: str, text_col: str, lang_c
 
 
 def fit(docs: DataFrame, labelled: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 2000, per_doc: int = 4, window: int = 256) -> ByteCnn | None:
+    ship(docs.sparkSession)
     labelled = F.lit(True) if labelled is None else labelled
     return train(sample(docs, labelled, id_col, text_col, lang_col, max_docs, per_doc, window), window=window)
 

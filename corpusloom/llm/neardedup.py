@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import MOST_KEYS, MOST_SENT, ChunkCache, cut, join_unique, temp, text_slices
+from corpusloom.session import ship
 
 SHINGLE = 3
 #: Members of a group up to which its pairs are tried by a join, and up to which one task tries them.
@@ -500,6 +501,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     Keys that many rows share (a text's node, a class) are summed before they are joined, and joined by broadcast of
     the few that are hot.
     """
+    ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     table = cut(base.mapInArrow(sketch_rows(samples, per_sample), "id long, node long, sketch array<long>, words binary"))
     search = _links(table, threshold, large)

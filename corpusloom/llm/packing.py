@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import cut, text_slices
+from corpusloom.session import ship
 
 #: White space to str.split() but not to the tokenizer's pattern.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
@@ -154,6 +155,7 @@ def pack_group(size: int):
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 1, group_size: int = 4096) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset in the sequence."""
+    ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     cutting = cut(base.mapInArrow(pieces(tokenizer_path, size, end_id), "id long, start long, length long, ids_crc32 long, doc_tokens long, r long"))
     groups = max(1, -(-cutting.filter(F.col("length") < size).count() // group_size))

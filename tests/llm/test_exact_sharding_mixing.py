@@ -115,3 +115,70 @@ def test_mixing_large_rate_and_names(spark):
     got = mixing.mix(docs.withColumn("text", F.lit("x")), total=2000)
     assert {"copies", "copies_", "mean_rate", "copy"} <= set(got.columns)
     assert abs(got.count() - 2000) < 300
+
+
+def test_equal_rows_are_dealt_evenly(spark):
+    docs = spark.createDataFrame([(7, "again", "en", "a", 0)], DOCS).crossJoin(spark.range(6000)).drop("id")
+    counts = sharding.shard(docs).groupBy("shard").count().collect()
+    assert sorted(r["count"] for r in counts) == [250] * 24
+
+
+def plain_tree(rows, shards, dims):
+    """A k-d tree over rows (size, coordinates, crc, h): shard of each, by sorting every node's rows."""
+    box = [(min(r[1][d] for r in rows), max(r[1][d] for r in rows)) for d in range(dims)]
+    out = {}
+
+    def split(own, first, k, box):
+        if k == 1:
+            out.update({r: first for r in own})
+            return
+        d = max(range(dims), key=lambda i: (box[i][1] - box[i][0], -i))
+        own = sorted(own, key=lambda r: (r[1][d], r[2], r[3]))
+        goal, at, total = sum(r[0] for r in own) * (k // 2) / k, 0, 0
+        while at < len(own) and total < goal:
+            total += own[at][0]
+            at += 1
+        if at and total - goal > goal - (total - own[at - 1][0]):
+            at -= 1
+        edge = own[at - 1][1][d] if at else -1
+        low, high = list(box), list(box)
+        low[d], high[d] = (box[d][0], min(box[d][1], max(box[d][0], edge))), (max(box[d][0], min(box[d][1], edge)), box[d][1])
+        split(own[:at], first, k // 2, low)
+        split(own[at:], first + k // 2, k - k // 2, high)
+
+    split(rows, 0, shards, box)
+    return out
+
+
+def test_sharding_against_a_plain_tree(spark):
+    rng = random.Random(8)
+    data = [(i, rng.choice(["hot " * 9, f"t{i % 70} " * 5, "w " * rng.randint(1, 300)]), rng.choice(["en", "fr", None]), rng.choice(["a", "a", "b"]), 0) for i in range(1500)]
+    docs = spark.createDataFrame(data, DOCS)
+    made = sharding.points(docs, "doc_id", "text", ("source", "lang"), 8).collect()
+    groups = collections.defaultdict(set)
+    for r in made:
+        groups[(r["size"], r["crc"])].add((r["point"], r["d2"], r["d3"]))
+    assert all(len(g) == 1 for g in groups.values())  # equal texts share a point
+    lo, hi = min(r["point"] for r in made), max(r["point"] for r in made)
+    top = (1 << 32) - 1
+    rows = [(r["size"], (min(top, int((r["point"] - lo) / (hi - lo) * top)), min(top, int(math.log2(r["size"]) / 48.0 * top)), r["d2"], r["d3"]), r["crc"], r["h"], r["id"]) for r in made]
+    want = {r[4]: s for r, s in plain_tree(rows, 24, 4).items()}
+    got = sharding.shard(docs, tolerance=0.0).collect()
+    sizes, plain = collections.Counter(), collections.Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        plain[want[r["doc_id"]]] += r["size"]
+    assert sum(r["shard"] == want[r["doc_id"]] for r in got) >= 0.99 * len(got)  # a tolerance of one byte is left
+    assert max(abs(sizes[s] - plain[s]) for s in range(24)) <= 700
+    torn = collections.Counter(len({r["shard"] for r in got if r["text_crc32"] == c}) > 1 for c in {r["text_crc32"] for r in got})
+    assert torn[True] <= 23  # a boundary tears one group of copies at most
+
+
+def test_clashing_names_and_long_texts(spark):
+    docs = spark.createDataFrame([(1, "long " * 400_000, "en", "a", 1, 5, "x"), (2, "short", "en", "b", 1, 6, "y")], DOCS + ", shard int, rows string")
+    assert {r["size"] for r in sharding.shard(docs).collect()} == {2_000_008, 13}
+    mixed = mixing.mix(docs, total=60)
+    assert {len(r["text"]) for r in mixed.collect()} == {2_000_000, 5} and mixed.columns[: len(docs.columns)] == docs.columns
+    assert sorted(r["rows"] for r in exactdedup.dedup(docs).collect()) == ["x", "y"]
+    twice = mixing.mix(docs.union(docs), total=400).groupBy("doc_id", "copy").count().collect()
+    assert {r["count"] for r in twice} == {2}  # rows that share an id draw the same count

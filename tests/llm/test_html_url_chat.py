@@ -159,3 +159,122 @@ def test_mismatched_pairs(spark):
     assert [tuple(t) for t in got[1][0]] == [("user", ""), ("assistant", "b")] and [tuple(t) for t in got[1][1]] == [("user", ""), ("assistant", "a")]
     assert [tuple(t) for t in got[4][0]] == [("assistant", "d")]
     assert preference.mismatched_pairs(df.limit(0)).count() == 0
+
+
+ARTICLE = f"{BODY} {BODY}"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><form><p>{BODY}</p><p>{BODY}</p></form></body>", ARTICLE),
+        (f"<body><div class='page no-sidebar'><p>{BODY}</p><p>{BODY}</p></div></body>", ARTICLE),
+        (f"<body class='page has-header'><div class='has-header'><p>{BODY}</p><p>{BODY}</p></div></body>", ARTICLE),
+        (f"<body><div class='widget-content'><p>{BODY}</p><p>{BODY}</p></div></body>", ARTICLE),
+        (f"<body><div id='post-comments-open'><p>{BODY}</p><p>{BODY}</p></div></body>", ARTICLE),
+        (f"<article><p>{BODY}</p><p class='notice'>{BODY}</p><p class='social-history'>s</p><div class='ad-free'>a</div></article>", f"{ARTICLE} s a"),
+        (f"<body><nav><a href=x>one</a></nav><div><h1>Title</h1><div><p>{BODY}</p><p>{BODY}</p></div></div><footer>f</footer></body>", f"Title {ARTICLE}"),
+        (f"<body><form class=search>find</form><div class=site-header>head</div><main><p>{BODY}</p><p>{BODY}</p></main></body>", ARTICLE),
+    ],
+)
+def test_furniture_is_evidence_and_no_verdict(page, text):
+    assert html.main_text(page) == text
+
+
+def test_density_finds_the_article_without_its_tag():
+    import pandas as pd
+
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").html
+    want = [html.main_text(p) for p in pages]
+    plain = lambda p: re.sub("<(/?)article", r"<\1div", p)
+    assert [html.main_text(plain(p)) for p in pages] == want
+    bare = lambda p: re.sub(r"<(/?)(?:nav|footer)\b", r"<\1div", plain(p).replace('class="ad"', ""))
+    assert sum(html.main_text(bare(p)) == w for p, w in zip(pages, want)) >= 0.95 * len(pages)  # no tag or name helps
+
+
+def test_densities_against_a_plain_version():
+    rng = random.Random(9)
+
+    def grow(depth):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.random()
+            if kind < 0.4 and parts and isinstance(parts[-1], str):
+                continue  # neighbours would be one text
+            if kind < 0.4 or depth > 5:
+                parts[-1:] = parts[-1:] if not (parts and isinstance(parts[-1], str)) else []
+                parts.append("".join(rng.choice("ab c") for _ in range(rng.randint(1, 60))))
+            else:
+                tag = rng.choice(["div", "a", "span", "section", "nav"])
+                parts.append((tag, grow(depth + 1)))
+        return parts
+
+    def source(parts):
+        return "".join(p if isinstance(p, str) else f"<{p[0]}>{source(p[1])}</{p[0]}>" for p in parts)
+
+    def flat(parts):
+        return [p for p in parts if not isinstance(p, str)] + [x for p in parts if not isinstance(p, str) for x in flat(p[1])]
+
+    def chars(parts, only_links=False, inside=False):
+        own = lambda t: len(" ".join(t.split())) if (inside or not only_links) else 0
+        return sum(own(p) if isinstance(p, str) else chars(p[1], only_links, inside or p[0] == "a") for p in parts)
+
+    for _ in range(200):
+        parts = [p for p in grow(0) if not isinstance(p, str)]
+        root = html.parse(f"<body>{source(parts)}</body>")
+        nodes = html.measure(root)
+        share = chars(parts, True) / max(1, chars(parts))
+        weighted = {}
+
+        def check(node, tag, parts, weight, share=share, weighted=weighted, total=chars(parts)):
+            c, lc = chars(parts, inside=tag == "a"), chars(parts, True, tag == "a")
+            t, lt = max(1, len(flat(parts))), max(1, sum(x[0] == "a" for x in flat(parts)))
+            base = math.log(c / max(1, c - lc) * lc + share * c + math.e) if c else 1
+            want = c / t * math.log(1 + max(0, (c - lc) / max(1, lc)) * t / lt) / (1 + math.log(base)) if c else 0
+            weight *= 0.1 if tag == "nav" and 2 * c <= total else 1
+            assert abs(node.density - want) < 1e-9 and abs(node.weight - weight) < 1e-12, tag
+            kids = html.kept(node)
+            inner = [p for p in parts if not isinstance(p, str)]
+            assert [k.tag for k in kids] == [p[0] for p in inner]
+            weighted[id(node)] = weight * want
+            for kid, (name, below) in zip(kids, inner):
+                check(kid, name, below, weight)
+            assert abs(node.total - sum(weighted[id(k)] for k in kids)) < 1e-9
+
+        check(html.kept(root)[0], "body", parts, 1.0)
+        assert html.leader(nodes).total == max(n.total for n in nodes)
+
+
+def test_html_clashing_repeated_and_long(spark):
+    long = "<article>" + "".join(f"<p>{BODY} {i}</p>" for i in range(20000)) + "</article>"
+    pages = spark.createDataFrame([(1, long, "old"), (2, f"<article>{BODY}</article>", "old"), (2, f"<article>{BODY}</article>", "old")], "page_id long, html string, text string")
+    got = html.extract(pages).collect()
+    assert sorted(len(r["text"]) for r in got) == sorted([len(BODY), len(BODY), sum(len(f"{BODY} {i}") + 1 for i in range(20000)) - 1])
+    assert pages.columns == html.extract(pages).columns
+
+
+def test_url_ties_repeats_and_long(spark):
+    long = "http://a.net/" + "x1/" * 50_000
+    rows = [("http://a.net/1", True), ("http://b.net/2", False)] * 40 + [(long, True), (None, False)]
+    df = spark.createDataFrame(rows, "url string, blocked boolean")
+    model = urlfilter.train(df)
+    assert urlfilter.train(df.repartition(3)) == model
+    got = urlfilter.judge(df, RULES, model).collect()
+    assert len(got) == len(rows) and len({(r["url"], r["__cl_verdict"]) for r in got}) == 4
+
+
+def test_rates_leave_the_own_label_out(spark):
+    rng = random.Random(3)
+    rows = [(f"http://h{i}.s{i}/", rng.random() < 0.5) for i in range(400)]  # suffixes that tell nothing
+    model = urlfilter.train(spark.createDataFrame(rows, "url string, blocked boolean"))
+    assert not any("suffix_rate" in str(t) for t in model.trees[:1])
+
+
+def test_preference_long_turns_and_names(spark):
+    rows = [(i, t, "assistant" if t % 2 else "user", f"{i}-{t}" + "x" * (100_000 if t == 1 else 0)) for i in range(2) for t in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pairs = preference.mismatched_pairs(df).withColumn("prompt", F.lit("old")).withColumn("extra", F.lit(1))
+    got = {r["conv_id"]: r for r in preference.format_pairs(pairs).collect()}
+    assert got[0]["prompt_turns"] == 1 and got[1]["prompt_turns"] == 3 and got[0]["extra"] == 1
+    assert got[1]["prompt"] == render([(r[2], r[3]) for r in rows if r[0] == 1][:3])
+    assert got[0]["chosen_mask"].count("-") == 3 and got[0]["rejected_text"].startswith("<|im_start|>assistant\n1-3<")

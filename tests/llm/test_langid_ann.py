@@ -110,3 +110,55 @@ def test_ann_small(spark):
     assert ann.search(few.limit(0), F.lit(True)).count() == 0
     assert ann.search(few.limit(1), F.lit(True)).count() == 0
     assert ann.search(few, F.lit(False)).count() == 0
+
+
+def test_tiny_vectors_lengths_and_names(spark):
+    rows = [(0, [1e-300, 1e-300], 1), (1, [1e-300, 0.0], 2), (2, [5e-324, 0.0], 3), (3, [1.0, 2.0, 3.0], 4), (50, [3.0, 2.0, 1.0], 5), (7, None, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, dim int").withColumn("key", F.lit(1)).withColumn("n", F.lit(2))
+    got = [(r["query_id"], r["vec_id"], round(r["score"], 12)) for r in ann.search(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, round(0.5**0.5, 12)), (0, 2, round(0.5**0.5, 12)), (50, 3, round(10 / 14, 12))]
+
+
+def test_scores_equal_doubles(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, (rng.standard_normal(16) * 10.0 ** rng.integers(-200, 150)).tolist()) for i in range(300)]
+    got = ann.search(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    for r in got:
+        a, b = (np.array(data[r[c]][1]) / np.abs(data[r[c]][1]).max() for c in ("query_id", "vec_id"))
+        assert abs(r["score"] - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-15 * 4
+    assert len(got) == 30
+
+
+def test_share_of_candidates_falls():
+    rng = np.random.default_rng(2)
+    shares = []
+    for n in (500, 2000, 8000):
+        x = rng.standard_normal((n, 64))
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        index = ann.Index(x, n, 12, 7)
+        found = index.candidates(unit[:40])
+        score = unit[:40] @ unit.T
+        score[np.arange(40), np.arange(40)] = -2
+        near = np.argsort(-score, axis=1)[:, :5]
+        shares.append(np.mean([len(f) for f in found]) / n)
+        assert np.mean([np.isin(a, f).mean() for a, f in zip(near, found)]) >= 0.9
+    assert shares[0] > shares[1] > shares[2] and shares[2] < 0.3
+
+
+def test_best_buckets_are_the_best():
+    rng = np.random.default_rng(3)
+    near = [rng.standard_normal((6, 8)) for _ in range(3)]
+    got = ann.best_buckets(near, 20)
+    total = (near[0][:, :, None, None] + near[1][:, None, :, None] + near[2][:, None, None, :]).reshape(6, -1)
+    for row, t in zip(got, total):
+        assert set(row.tolist()) == set(np.argsort(-t)[:20].tolist())
+    x = rng.standard_normal((5, 13))
+    signs = ann.rotations(13, 1, 1)[0]
+    assert np.allclose(ann.rotated(x, signs), ann.rotated(x, signs, ann.rotation(signs)))
+
+
+def test_langid_ties_names_and_batches(spark):
+    model = langid.ByteCnn(["aa", "bb"], [np.zeros((2, 256, 1), "f4")], np.zeros(1, "f4"), np.zeros((1, 2), "f4"), np.zeros(2, "f4"), 256)
+    docs = spark.createDataFrame([(i, "text", 1) for i in range(700)], "doc_id long, text string, lang_pred int")
+    got = docs.withColumn("p", langid.predictor(model)("text")).collect()
+    assert {(r["p"]["lang_pred"], r["p"]["score"], r["lang_pred"]) for r in got} == {("aa", 0.5, 1)}  # of equal scores the first label

@@ -159,3 +159,64 @@ def test_edges(spark):
     assert sorted(kept) == [(1, "one two three"), (1, "other text")]
     clash = spark.createDataFrame([(1, "a b c", 1, 2)], "doc_id long, text string, node int, class_id int")
     assert neardedup.dedup(clash).collect()[0]["class_id"] == 2
+
+
+def test_groups_without_a_common_leader(spark):
+    """Far more texts than are tried one by one share a passage; those that are alike differ from all others."""
+    rng = random.Random(11)
+    passage, docs = [f"p{i}" for i in range(90)], []
+    for i in range(160):
+        own = [f"o{rng.randint(0, 400)}" for _ in range(60)]
+        for _ in range(3):
+            docs.append(passage + [f"n{rng.randint(0, 9999)}" if rng.random() < 0.2 else w for w in own])
+    want = brute(docs)
+    df = spark.createDataFrame([(i, " ".join(d), "en") for i, d in enumerate(docs)], DOCS)
+    for large in (24, 4096):
+        got = {r["doc_id"]: r["class_id"] for r in neardedup.classes(df, large=large).collect()}
+        assert got == dict(enumerate(want))
+
+
+def test_rare_words_lose_no_pair():
+    rng = random.Random(12)
+    for _ in range(300):
+        a = [rng.randint(0, 40) for _ in range(rng.randint(1, 60))]
+        b = [rng.randint(0, 40) if rng.random() < 0.15 else w for w in a]
+        frequency = np.random.default_rng(rng.randint(0, 99)).integers(1, 50, neardedup.BINS)
+        x, y = (np.array(w, dtype="u8") * 7919 for w in (a, b))
+        if lcs(a, b) >= 0.8 * max(len(a), len(b)):
+            p, q = (set(neardedup.rare_words(w, frequency, 0.8)[0].tolist()) for w in (x, y))
+            assert p & q
+
+
+def test_promising_pairs_are_all_that_may_be_alike():
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    base = [rng.randint(0, 10**6) for _ in range(80)]
+    words = [np.array([rng.randint(0, 10**6) if rng.random() < 0.15 * (i % 3) else w for w in base], dtype="u4") for i in range(30)]
+    rows = [(1, -1, i, i // 2, [], len(w), neardedup.parities(w.astype("u8")).tobytes()) for i, w in enumerate(words)]
+    names = ["g", "sample", "node", "comp", "sketch", "n", "bits"]
+    group = pa.table({n: pa.array([r[k] for r in rows], pa.list_(pa.int64()) if n == "sketch" else None) for k, n in enumerate(names)})
+    got = {(a, b) for a, b in zip(*(c.to_pylist() for c in neardedup.promising(0.8, None, block=7)(group).columns))}
+    for i in range(30):
+        for j in range(i):
+            if i // 2 != j // 2 and neardedup.alike(words[i], words[j], 0.8):
+                assert (j, i) in got
+    few = neardedup.promising(0.8, 2)(group)
+    assert 0 < few.num_rows <= len(got) and {(a, b) for a, b in zip(*(c.to_pylist() for c in few.columns))} <= got
+
+
+def test_hot_keys_join_whole(spark):
+    from corpusloom.llm import common
+
+    rows = spark.range(5000).selectExpr("IF(id < 3000, 0, id) AS key", "id")
+    facts = common.cut(rows.groupBy("key").count().selectExpr("key", "count AS rows", "key * 2 AS twice"))
+    got = common.join_unique(rows, facts, "key")
+    assert got.count() == 5000 and got.filter("twice <> key * 2").count() == 0
+
+
+def test_near_long_texts_and_names(spark):
+    long = " ".join(f"w{i % 700}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, long, 1, 2), (2, long + " more", 3, 4), (3, "else", 5, 6)], "doc_id long, text string, class_id int, node int")
+    assert {r["doc_id"]: r["class_id"] for r in neardedup.classes(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert sorted((r["doc_id"], r["class_id"], r["node"]) for r in neardedup.dedup(docs).collect()) == [(1, 1, 2), (3, 5, 6)]

@@ -45,3 +45,27 @@ def test_entry_lists_the_operators():
     names = set(__spark_entry__.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_stages_without_labels_and_empty(spark):
+    from pyspark.sql import functions as F
+
+    docs = table(spark, SF, "documents").limit(40).withColumn("lang", F.lit(None).cast("string")).withColumn("group", F.lit(1))
+    assert corpus_pipeline.language(spark, docs, SF).count() == 40
+    empty = table(spark, SF, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, SF)
+        assert out.count() == 0 and (name == "packing" or out.columns == empty.columns)
+    odd = spark.createDataFrame([(1, None, "en", "s", None, 1), (1, "", None, None, None, 2), (1, "", None, None, None, 2), (2, "a word", "en", "s", 6, 3)], "doc_id long, text string, lang string, source string, n_chars long, keep_id int")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, SF)
+        assert name == "packing" or out.columns == odd.columns
+        assert out.count() >= (0 if name == "mixing" else 1)
+
+
+def test_stage_tables_are_removed(spark):
+    import os
+
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    corpus_pipeline.run(spark, SF).count()
+    assert not [n for n in os.listdir(folder) if n.startswith("pipeline-")]
