@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import chunk_id, strip, token_count
 from corpusloom.operators.lineage import cut, sums_before
+from corpusloom.session import ship
 
 SENTENCE_GAP = re.compile(r"(?<=[.!?])\s+")
 TOKEN = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t-\r ]")
@@ -86,6 +87,7 @@ def chunk_prose(
     `count` gives the tokens of a text (`BpeCount` for those of a tokenizer file). Numbers need only the count of chunks
     per section: it is summed over narrow rows, and each section with its chunks meets its number by its own key.
     """
+    ship(sections.sparkSession)
     rows = sections.filter(strip(F.col(text_col)) != "").withColumn("__chunks", prose_chunks(F.col(text_col), budget, overlap, count))
     rows = cut(rows.drop(text_col).withColumn("__row", F.monotonically_increasing_id()))
     narrow = rows.select("__row", F.col(source_col).alias("__source"), F.col(order_col).alias("__order"), F.size("__chunks").alias("__n"))

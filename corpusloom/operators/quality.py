@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.similarity import lcs_length
 from corpusloom.functions.text import strip, word_count
 from corpusloom.operators.lineage import cut
+from corpusloom.session import ship
 
 
 def _text(name: str) -> Column:
@@ -69,6 +70,7 @@ def similar_pairs(keys: DataFrame, threshold: float = 85.0) -> DataFrame:
     the first (count - need + 1): only those rare grams are joined on. Keys too short for the bound (need < 1) are
     joined on length, which is then at most a dozen characters. Candidates pass a length test before they move on.
     """
+    ship(keys.sparkSession)
     slack = 1 - threshold / 100
     grams = keys.select("key", "pos", F.length("key").alias("l"), F.explode(_grams(F.col("key"))).alias("g"))
     counted = grams.groupBy("key", "pos", "l", "g").agg(F.count("*").alias("m"))
