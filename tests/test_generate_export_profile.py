@@ -120,3 +120,18 @@ def test_settings(tmp_path, monkeypatch):
     monkeypatch.delenv("SOME_KEY", raising=False)
     with pytest.raises(ValueError):
         Settings.api_key("SOME_KEY")
+
+
+def test_split_of_equal_texts(spark):
+    rows = spark.createDataFrame([("same", "qa", "a")] * 70 + [("same", "qa", "b")] * 30, "text string, format string, source_id string")
+    got = {r["split"]: r["count"] for r in export.stratified_split(rows).groupBy("split").count().collect()}
+    assert got == {"train": 80, "validation": 10, "test": 10}
+    mixed = rows.limit(9).unionByName(spark.createDataFrame([(f"t{i}", None, None) for i in range(11)], rows.schema))
+    got = {(r["format"], r["split"]): r["count"] for r in export.stratified_split(mixed).groupBy("format", "split").count().collect()}
+    assert got[("qa", "train")] == 7 and got[(None, "train")] == 8 and got[(None, "validation")] == 1 and sum(got.values()) == 20
+
+
+def test_named_factory():
+    assert generate.named_factory("corpusloom.operators.generate:echo_factory") is generate.echo_factory
+    with pytest.raises(ValueError):
+        generate.named_factory("corpusloom.operators.generate:nothing")

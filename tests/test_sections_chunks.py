@@ -89,3 +89,29 @@ def test_chunk_documents_and_totals(spark):
     assert totals["chunks"] == 2
     empty = chunk.chunk_totals(chunk.chunk_documents(rows.filter(F.lit(False)))).first()
     assert (empty["total_tokens"], empty["avg_tokens"]) == (0, 0.0)
+
+
+def test_chunks_by_a_tokenizer(spark):
+    import public_tokenizers
+
+    count = chunk.BpeCount(public_tokenizers.path("word_bpe_49k.json"))
+    text = " ".join(f"Sentence number {i} tells of loads and rests." for i in range(60))
+    docs = spark.createDataFrame([("s", 0, text), ("s", 1, text), ("t", 0, "One. Two.")], "source_id string, section_pos int, text string")
+    got = chunk.chunk_prose(docs, budget=100, overlap=20, count=count).orderBy("source_id", "chunk_index").collect()
+    want = [c for _ in range(2) for c in chunk.fold(text, 100, 20, count)]
+    assert [r["text"] for r in got if r["source_id"] == "s"] == want and [r["chunk_index"] for r in got if r["source_id"] == "s"] == list(range(len(want)))
+    assert all(r["token_count"] == count(r["text"]) for r in got) and len(want) > len(chunk.fold(text, 800, 100)) * 2
+
+
+def test_sums_before(spark):
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators.lineage import sums_before
+
+    rows = spark.range(3000).selectExpr("IF(id % 10 = 0, NULL, 'hot') AS g", "id % 700 AS o", "id", "id % 3 AS v")
+    got = sums_before(rows, "g", ["o", "id"], F.col("v"), "s").collect()
+    want, sums = {}, {}
+    for r in sorted(got, key=lambda r: (r["o"], r["id"])):
+        want[r["id"]] = sums.get(r["g"], 0)
+        sums[r["g"]] = sums.get(r["g"], 0) + r["v"]
+    assert {r["id"]: r["s"] for r in got} == want and len(got) == 3000

@@ -148,3 +148,88 @@ def test_stream_validation(spark, tmp_path):
     assert run() == ["What is a squat exercise?"]
     arrive("2.jsonl", "What is a squat exercises?", "How many sets should be done?")
     assert run() == ["How many sets should be done?", "What is a squat exercise?"]
+
+
+def write_styled(path, epoch_1904=False):
+    """A workbook whose first column is styled as a date, one cell by a built-in format and one by its own."""
+    write_xlsx(path, {"Log": [["date", "exercise", "sets"], [45296, "Squat", 4], [45297.5, "Row", 3], [0.75, "Plank", 2]]})
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n).decode() for n in z.namelist()}
+    sheet = parts["xl/worksheets/s0.xml"]
+    for ref, style in (("A2", 1), ("A3", 2), ("A4", 2)):
+        sheet = sheet.replace(f'<c r="{ref}">', f'<c r="{ref}" s="{style}">')
+    parts["xl/worksheets/s0.xml"] = sheet
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    parts["xl/styles.xml"] = f'<styleSheet {ns}><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd&quot; at &quot;hh:mm"/><numFmt numFmtId="165" formatCode="&quot;days&quot; 0.0"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    if epoch_1904:
+        parts["xl/workbook.xml"] = parts["xl/workbook.xml"].replace("<sheets>", '<workbookPr date1904="1"/><sheets>')
+    with zipfile.ZipFile(path, "w") as z:
+        for n, text in parts.items():
+            z.writestr(n, text)
+
+
+def test_workbook_dates(spark, tmp_path):
+    write_styled(tmp_path / "d.xlsx")
+    rows = tabular.xlsx_sheets(str(tmp_path / "d.xlsx"))["Log"]
+    assert [r[0] for r in rows] == ["date", "2024-01-05", "2024-01-06 12:00:00", "18:00:00"]
+    got = tabular.spreadsheet_sections(spark, str(tmp_path / "d.xlsx")).orderBy("section_order").collect()
+    assert [r["title"] for r in got][1] == "Training Session - January 05, 2024"
+    write_styled(tmp_path / "m.xlsx", epoch_1904=True)
+    assert tabular.xlsx_sheets(str(tmp_path / "m.xlsx"))["Log"][1][0] == "2028-01-06"
+    assert tabular.date_text(1, False) == "1900-01-01" and tabular.date_text(61, False) == "1900-03-01"
+    assert not tabular.is_date_format('"days" 0.0') and not tabular.is_date_format("General") and tabular.is_date_format("[h]:mm") is True
+
+
+def test_old_workbooks_need_a_reader(spark, tmp_path):
+    (tmp_path / "o.xls").write_bytes(b"old")
+    with pytest.raises(ValueError):
+        tabular.spreadsheet_sections(spark, str(tmp_path / "o.xls"))
+    got = tabular.spreadsheet_sections(spark, str(tmp_path / "o.xls"), None, lambda path: {"S": [["exercise", "sets"], ["Squat", 3]]})
+    assert [(r["part"], r["text"]) for r in got.collect()] == [("S", "The client performed 3 sets of Squat.")]
+
+
+def test_quoted_lines_of_delimited_files(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('exercise,notes\nSquat,"two\nlines"\nRow,"a ""b"""\n')
+    assert tabular.read_delimited(spark, str(tmp_path / "q.csv")).count() == 2
+    (tmp_path / "p.csv").write_text("exercise,notes\nSquat,one\nRow,two\n")
+    assert tabular.read_delimited(spark, str(tmp_path / "p.csv")).count() == 2
+
+
+def pages_of(data):
+    return [f"CHAPTER ONE\n{WORDS}"]
+
+
+def read_image(data):
+    return WORDS
+
+
+def test_engines_and_warnings(spark, tmp_path, caplog):
+    (tmp_path / "b.pdf").write_bytes(b"x")
+    (tmp_path / "i.png").write_bytes(b"x")
+    (tmp_path / "registry.yaml").write_text("sources:\n- {id: book, type: pdf, path: b.pdf}\n- {id: scan, type: image_ocr, path: i.png}\n")
+    assert steps.extract(spark, str(tmp_path)) is None
+    assert {r.getMessage().split(":")[0] for r in caplog.records} >= {"book", "scan"}
+    engines = steps.Engines.named([f"pdf={__name__}:pages_of", f"ocr={__name__}:read_image"])
+    got = steps.extract(spark, str(tmp_path), engines=engines).collect()
+    assert {(r["source_id"], r["title"], r["folder"], r["section_pos"]) for r in got} == {("book", "CHAPTER ONE", "textbooks", 0), ("scan", "i", "training_logs", 0)}
+    for bad in ("pdf=nothing", "doc=a:b", "pdf=os:none"):
+        with pytest.raises(ValueError):
+            steps.Engines.named([bad])
+
+
+def test_split_ratios_are_read(tmp_path):
+    (tmp_path / "c.yaml").write_text("data: {train_val_test_split: [0.7, 0.2, 0.1]}\n")
+    assert Settings.load(str(tmp_path / "c.yaml")).split == (0.7, 0.2)
+    (tmp_path / "c.yaml").write_text("data: {train_val_test_split: [0.9, 0.2]}\n")
+    with pytest.raises(ValueError):
+        Settings.load(str(tmp_path / "c.yaml"))
+
+
+def test_main_text_of_plain_pages(spark):
+    from pyspark.sql import functions as F
+
+    page = f"<body><div class=top><a href=x>one</a> <a href=y>two</a></div><div><h2>Head</h2><p>{WORDS}<br>{WORDS}</p><table><tr><td>cell one</td><td>cell two</td></tr></table></div><div class='comments'><p>{WORDS * 4}</p></div></body>"
+    row = markup.html_sections(spark.createDataFrame([(page,)], "html string"), "html", F.lit("n")).first()
+    assert row["extraction_method"] == "main_text" and row["text"] == f"Head\n{WORDS}\n{WORDS}\ncell one\ncell two"
+    plain = markup.html_sections(spark.createDataFrame([(page,)], "html string"), "html", F.lit("n"), main=False).first()
+    assert plain["extraction_method"] == "fallback" and "one" in plain["text"]
