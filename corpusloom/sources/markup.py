@@ -1,7 +1,7 @@
 """HTML pages and EPUB books to cleaned text.
 
 The main text of a page is that of the element whose own paragraphs, list items, table cells and headings hold the most
-text that isn't links, without reader comments. Where that isn't meaningful, the text is what lies in its first article,
+text that isn't links, within articles and main where there are any, without reader comments. Where that isn't meaningful, the text is what lies in its first article,
 else main, else body. Both leave out scripts, styles, menus, headers, footers and sidebars. Parsing is an Arrow UDF over
 the standard library's tolerant parser; cleaning is built-in.
 """
@@ -85,7 +85,7 @@ class ArticleParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # tag, number of the element, whether it and what it holds are left out
         self.made = 0
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []
+        self.blocks: list[tuple[tuple[int, ...], str, int, bool]] = []
         self.parts: list[str] = []
         self.linked = 0
 
@@ -93,7 +93,7 @@ class ArticleParser(HTMLParser):
         text = "".join(self.parts).strip()
         if text:
             around = [n for tag, n, _ in self.stack if tag not in BLOCKS and tag not in INLINE]
-            self.blocks.append((tuple(around), text, self.linked))
+            self.blocks.append((tuple(around), text, self.linked, any(t in ("article", "main") for t, _, _ in self.stack)))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -127,16 +127,18 @@ class ArticleParser(HTMLParser):
             self.linked += len(data.strip())
 
     def main(self) -> str:
-        """The blocks within the element whose own blocks hold the most text; half of it counts for the element around."""
+        """The blocks within the element whose own blocks hold the most text; half of it counts for the element around.
+        Where some lie in an article or main, only these are considered."""
         self.close_block()
         score: dict[int, float] = {}
-        for around, text, linked in self.blocks:
+        blocks = [b for b in self.blocks if b[3]] or self.blocks
+        for around, text, linked, _ in blocks:
             for place, weight in zip(reversed(around), (1.0, 0.5), strict=False):
                 score[place] = score.get(place, 0.0) + weight * max(0, len(text) - 2 * linked)
         if not score:
             return ""
         best = min(score, key=lambda n: (-score[n], n))
-        return "\n".join(text for around, text, _ in self.blocks if best in around)
+        return "\n".join(text for around, text, _, _ in blocks if best in around)
 
 
 def article_text(html: str) -> str:
