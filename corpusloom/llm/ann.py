@@ -32,8 +32,8 @@ from pyspark.sql.window import Window
 from corpusloom.llm.common import MOST_SENT, cut
 from corpusloom.session import ship
 
-#: Vectors of a block, and the least that is worth a block of its own.
-BLOCK_ROWS, LEAST_ROWS = 65_536, 4_096
+#: Vectors of a block at most, components of a block at most (64 MB as doubles), and the least vectors that are worth one.
+BLOCK_ROWS, BLOCK_VALUES, LEAST_ROWS = 65_536, 1 << 23, 4_096
 #: Share of the vectors that a query's probes aim at for 500 vectors, and the power of the number that it falls with.
 SHARE, FALL = 0.75, 0.45
 #: Probes of a table at most; the longest hash that stays below it is taken.
@@ -203,7 +203,7 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     once = rows.groupBy("key").agg(F.first("v").alias("v"))
     distinct = cut(once.join(low, "key").select("key", "first_id", "ids", F.size("v").alias("dim"), _pack(kept)("v").alias("v")))
     sizes = distinct.groupBy("dim").agg(F.count("*").alias("n")).withColumn(
-        "blocks", F.greatest(F.ceil(F.col("n") / part_rows), F.least(F.lit(spark.sparkContext.defaultParallelism), F.ceil(F.col("n") / LEAST_ROWS))).cast("int")
+        "blocks", F.greatest(F.ceil(F.col("n") / part_rows), F.ceil(F.col("n") * F.col("dim") / BLOCK_VALUES), F.least(F.lit(spark.sparkContext.defaultParallelism), F.ceil(F.col("n") / LEAST_ROWS))).cast("int")
     )
     sizes = cut(sizes)
     sizes = F.broadcast(sizes) if sizes.count() <= MOST_SENT else sizes  # a row for each length of vectors
