@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,63 +27,74 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import cut, text_slices
 from corpusloom.session import ship
 
-#: White space to str.split() but not to the tokenizer's pattern.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: The tokenizer's own splitting pattern on lower-case printable ASCII; a fixed value of its file.
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: First bytes of U+0300 to U+037F, which hold all marks that ASCII letters compose with.
+MARKS = (b"\xcc", b"\xcd")
+PUNCTUATION = frozenset(string.punctuation.encode())
 
 
 class ChunkEncoder(dict):
-    """White-space-delimited chunk -> bytes of its ids, for a BPE tokenizer that splits at white space and drops it.
+    """Chunk of UTF-8 between ASCII white space -> bytes of its ids, for a BPE tokenizer that splits at white space and
+    drops it.
 
-    A chunk's ids don't depend on its neighbours, so each distinct chunk is split into words once, and each distinct
-    word is merged once. Both tables are kept in two generations: when the young one is full it becomes the old one,
-    so frequent entries stay and memory is bounded.
+    A chunk's ids don't depend on its neighbours, so each distinct chunk is split into words and merged once. A letter
+    and the punctuation after it are never in one word, so a last sign is looked up by itself and chunks with one take
+    no room. The table is kept in two generations: when the young one is full it becomes the old one, so frequent
+    entries stay and memory is bounded.
+
+    The tokenizer lower-cases, so texts are looked up with A-Z lower-cased; not those that hold a special token, in any
+    case, or a mark: some marks compose with a small letter only (j and caron), and composing comes before lower-casing.
     """
 
-    def __init__(self, path: str, room: int = 200_000, longest: int = 40):
+    def __init__(self, path: str, room: int = 240_000, longest: int = 80):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.normalize, self.split = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.merge = self.tokenizer.model.tokenize
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = "".join(sorted({t[0] for t in self.specials}))
-        self.room, self.longest, self.old, self.words = room, longest, {}, {}
+        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.room, self.longest, self.old = room, longest, {}
 
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def whole(self, chunk: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str) -> bytes:
-        value = self.words.get(word)
-        if value is None:
-            value = array("I", [t.id for t in self.merge(word)]).tobytes()
-            if len(self.words) >= self.room:
-                self.words.clear()
-            self.words[word] = value
-        return value
+        return array("I", [t.id for t in self.merge(word)]).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(chunk) > self.longest:
+            return self.whole(chunk)
         value = self.old.get(chunk)
         if value is None:
-            if len(chunk) > self.longest or any(c in chunk for c in self.marks) and any(s in chunk for s in self.specials):
-                return self.whole(chunk)
-            if chunk.isascii() and chunk.isprintable():
-                parts = ASCII_WORD.findall(chunk.lower())
+            if chunk.isalpha():  # A-Z, a-z
+                value = self.word(chunk.decode().lower())
+            elif chunk[-1] in PUNCTUATION and chunk[-2:-1].isalnum():
+                return self[chunk[:-1]] + self[chunk[-1:]]
             else:
-                parts = [p for p, _ in self.split(self.normalize(chunk))]
-            value = b"".join(map(self.word, parts))
+                text = chunk.decode()
+                if text.isascii() and text.isprintable():
+                    parts = ASCII_WORD.findall(text.lower())
+                else:
+                    parts = [p for p, _ in self.split(self.normalize(text))]
+                value = b"".join([self[p.encode()] if p.isascii() and p.isalpha() else self.word(p) for p in parts])
         if len(self) >= self.room:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         self[chunk] = value
         return value
 
+    def ids_of(self, raw: bytes) -> bytes:
+        """The ids of a text in UTF-8."""
+        low = raw.lower()  # A-Z only
+        if any([s in low for s in self.specials]):
+            return b"".join([self.whole(c) if any(s in c for s in self.specials) else self[c] for c in raw.split()])
+        return b"".join(map(self.__getitem__, (raw if any([m in low for m in MARKS]) else low).split()))
+
     def ids(self, text: str) -> bytes:
-        if any(c in text for c in ODD_SPACE):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return self.ids_of(text.encode())
 
 
 #: Encoders of this Python worker, by path: a worker runs many tasks, and what it has learned stays.
@@ -99,12 +111,12 @@ PIECE = pa.schema([(c, pa.int64()) for c in ("id", "start", "length", "ids_crc32
 
 
 def pieces(path: str, size: int, end_id: int):
-    """(id, text) batches -> (id, start, length, ids_crc32, doc_tokens, r) rows; r orders and deals the pieces."""
+    """(id, UTF-8 text) batches -> (id, start, length, ids_crc32, doc_tokens, r) rows; r orders and deals the pieces."""
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids, row = encoder(path).ids, 0
+        ids, row = encoder(path).ids_of, 0
         for batch in batches:
             for keys, texts in zip(text_slices(batch.column(0)), text_slices(batch.column(1)), strict=True):
                 out: list[tuple] = []
@@ -156,7 +168,7 @@ def pack_group(size: int):
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 1, group_size: int = 4096) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset in the sequence."""
     ship(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     cutting = cut(base.mapInArrow(pieces(tokenizer_path, size, end_id), "id long, start long, length long, ids_crc32 long, doc_tokens long, r long"))
     groups = max(1, -(-cutting.filter(F.col("length") < size).count() // group_size))
     part = cutting.filter(F.col("length") < size).withColumn("g", F.pmod(F.xxhash64("r", "start", "ids_crc32"), F.lit(groups)))

@@ -41,6 +41,28 @@ def test_chunks_encode_as_the_tokenizer_does():
         assert own.ids(text) == np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+def test_lower_case_and_last_signs_encode_as_the_tokenizer_does():
+    rng = random.Random(4)
+    parts = ["J", "j", "T", "K", "\u030c", "\u0308", "\u0307", "\u0344", "\u212a", "İ", "Σ", "É", "ß", "»", "…", "½", "²", "7", ",", ".", ")", "'", "'S", "<", ">", "=", "\u0338", " ", "\t", "\x0b", "\x0c", "\xa0", "\u2028", "<|ENDOFTEXT|>", "<|endoftext|>", "the", "The", "한", "\u1112\u1161"]
+    full, own = Tokenizer.from_file(PATH), packing.ChunkEncoder(PATH, room=50)
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert own.ids(text) == np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    for text in ("x" * 500 + ",", "<|startoftext|>," * 20, "漢字" * 50):
+        assert own.ids(text) == np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_forms_of_a_word_share_an_entry():
+    own, merged = packing.ChunkEncoder(PATH, room=70), collections.Counter()
+    plain = own.merge
+    own.merge = lambda word: merged.update([word]) or plain(word)
+    words = [a + b for a in ("mal", "tor", "ves", "nic", "gar", "lum") for b in ("ane", "ost", "ith", "ule", "ern", "ock", "iva", "ash", "ume", "ond")]
+    for form in ("{}", "{},", "{}.", "{}!") * 3:
+        own.ids(" ".join(form.format(w.title() if i % 2 else w) for i, w in enumerate(words)))
+    assert merged == {w: 1 for w in (*words, ",", ".", "!")}
+    assert len(own) == len(merged) and not own.old
+
+
 def test_pack(spark):
     rng = random.Random(5)
     words = ["alpha", "beta", "gamma", "été", "don't"]
