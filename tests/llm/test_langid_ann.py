@@ -145,6 +145,43 @@ def test_share_of_candidates_falls():
     assert shares[0] > shares[1] > shares[2] and shares[2] < 0.3
 
 
+def test_recall_holds_for_a_million():
+    rng, n = np.random.default_rng(5), 1_000_000
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    asked = unit(rng.standard_normal((80, 64), dtype="f4"))
+    score, near = np.full((80, 5), -2.0), np.zeros((80, 5, 64))
+    for _ in range(0, n, 100_000):
+        x = unit(rng.standard_normal((100_000, 64), dtype="f4"))
+        own = asked @ x.T
+        best = np.argpartition(-own, 5, axis=1)[:, :5]
+        score, near = np.concatenate([score, np.take_along_axis(own, best, 1)], axis=1), np.concatenate([near, x[best]], axis=1)
+        best = np.argsort(-score, axis=1)[:, :5]
+        score, near = np.take_along_axis(score, best, 1), np.take_along_axis(near, best[:, :, None], 1)
+    found = ann.Index(near.reshape(-1, 64), n, 12, 7).candidates(unit(asked.astype("f8")))
+    assert np.mean([np.isin(np.arange(5 * i, 5 * i + 5), f).mean() for i, f in enumerate(found)]) >= 0.9
+
+
+def test_too_few_probes_are_noticed(spark):
+    rng = np.random.default_rng(6)
+    data = [(i, rng.standard_normal(32).tolist()) for i in range(1200)]
+    want = brute32(data)
+    got = {}
+    for r in ann.search(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, part_rows=400, share=0.05).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert all(len(v) == 5 for v in got.values())
+    assert np.mean([len(got[q] & want[q]) / 5 for q in want]) >= 0.9
+    same = [(i, [1.0, float(i + 1)]) for i in range(60)] + [(100 + i, [2.0, 2.0 * (i + 1)]) for i in range(60)]  # scaled: other vectors, equal scores
+    assert ann.search(spark.createDataFrame(same, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).count() == 20
+
+
+def brute32(data):
+    x = np.array([v for _, v in data])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    score = x @ x.T
+    np.fill_diagonal(score, -2)
+    return {i: set(np.argsort(-score[i])[:5].tolist()) for i in range(0, len(data), 50)}
+
+
 def test_best_buckets_are_the_best():
     rng = np.random.default_rng(3)
     near = [rng.standard_normal((6, 8)) for _ in range(3)]
