@@ -186,6 +186,12 @@ class TreeBuilder(HTMLParser):
                 node = node.parent
         self.pop_to(tag)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no section that the parser knows; to browsers a comment up to the next `>`
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         if data:
             self.at.items.append(data)

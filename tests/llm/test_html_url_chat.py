@@ -53,6 +53,13 @@ def test_html_never_fails():
     assert html.main_text("<div>" * 3000 + "deep words" + "</div>" * 3000) == "deep words"
 
 
+def test_unknown_marked_sections_are_comments():
+    assert html.main_text("<article><p>one</p><![foo[bar]]><p>two</p></article>") == "one two"
+    assert html.main_text("<article>Some text <![x y>and more</article>") == "Some text and more"
+    assert html.main_text("<p>a</p><![ [b]><p>c</p>") == "a c"
+    assert html.main_text("<p>open</p><![foo[").startswith("open")
+
+
 def test_html_query_shape(spark):
     pages = spark.createDataFrame([(1, None, 5), (2, f"<article>{BODY}</article>", 6)], "page_id long, html string, chars int")
     assert {r["page_id"]: r["text"] for r in html.extract(pages).collect()} == {1: "", 2: BODY}
