@@ -24,11 +24,16 @@ from pyspark.sql import types as T
 from corpusloom.llm.common import text_slices
 from corpusloom.session import ship
 
+#: Letters, and number signs that are no digits (a superscript, a fraction, a Roman numeral).
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that stand for letters: ASCII letters and every byte of longer UTF-8 sequences.
 IS_LETTER = np.array([chr(i).isascii() and chr(i).isalpha() or i >= 0x80 for i in range(256)])
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 @dataclass
 class ByteCnn:
     """Tables (width, 256, filters) for each width, and the output layer."""
@@ -154,7 +159,7 @@ def sample(docs: DataFrame, labelled: Column, id_col: str, text_col: str, lang_c
     known = rows.count()
     # about twice as many as wanted are drawn by hash first, so that what reaches the driver doesn't grow with the tasks
     share = min(1.0, (2 * max_docs + 100) / max(1, known))
-    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
+    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < max(1, int(share * (1 << 20)))
     rows = (
         rows.filter(drawn)
         .filter(text.rlike(r"\p{L}"))
@@ -163,7 +168,7 @@ def sample(docs: DataFrame, labelled: Column, id_col: str, text_col: str, lang_c
         .limit(max_docs)
         .collect()
     )
-    return [(w.encode("utf-8", "surrogatepass"), r["y"]) for r in rows for w in r["w"] if LETTER.search(w)]
+    return [(w.encode("utf-8", "surrogatepass"), r["y"]) for r in rows for w in r["w"] if has_letter(w)]
 
 
 def fit(docs: DataFrame, labelled: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 2000, per_doc: int = 4, window: int = 256) -> ByteCnn | None:
@@ -176,7 +181,7 @@ def predict_texts(model: ByteCnn | None, texts: list[str | None], budget: int =
     """Labels and scores. Texts are taken in runs of about `budget` bytes, so long ones stay within memory."""
     labels, scores = ["und"] * len(texts), [0.0] * len(texts)
     at = 0
-    todo = [i for i, t in enumerate(texts) if model is not None and isinstance(t, str) and LETTER.search(t)]
+    todo = [i for i, t in enumerate(texts) if model is not None and isinstance(t, str) and has_letter(t)]
     while at < len(todo):
         run, size = [], 0
         while at < len(todo) and (not run or size < budget):

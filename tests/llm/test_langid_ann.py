@@ -66,6 +66,11 @@ def brute(data, k, is_query):
     return out
 
 
+def test_numbers_are_no_letters():
+    model = langid.ByteCnn(["aa"], [np.zeros((2, 256, 1), "f4")], np.zeros(1, "f4"), np.zeros((1, 1), "f4"), np.zeros(1, "f4"), 256)
+    assert langid.predict_texts(model, ["²", "½ ③ 7", "Ⅷ.", "_ 12", "² x", "½ª"]) == (["und"] * 4 + ["aa"] * 2, [0.0] * 4 + [1.0] * 2)
+
+
 def test_hadamard():
     x = np.random.default_rng(0).standard_normal((5, 16))
     assert np.allclose(ann.hadamard(ann.hadamard(x)), x) and np.allclose(np.linalg.norm(ann.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
