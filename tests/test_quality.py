@@ -1,8 +1,10 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import similarity
 from corpusloom.functions.similarity import ratio
 from corpusloom.operators import quality
 
@@ -100,3 +102,26 @@ def test_counters(spark):
     passed, stats = quality.validate_dataset(spark.createDataFrame(rows, "pos long, instruction string, response string"), "qa", "pos", 2)
     assert sorted(r["pos"] for r in passed.collect()) == [0, 3]
     assert tuple(stats.first()) == ("qa", 4, 1, 1, 2, 2)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_blocks_and_strips_lose_no_pair(seed, monkeypatch):
+    rng = random.Random(seed)
+    keys = sorted({k for k in random_keys(rng, 150) + ["é😀 word", "é😀 words", "x"] if k})
+    rng.shuffle(keys)
+    strips = similarity._strips
+    monkeypatch.setattr(similarity, "_strips", lambda keys: strips(keys, 40, 1500))
+    for threshold in (60, 85):
+        want = [(i, j) for i in range(len(keys)) for j in range(i + 1, len(keys)) if ratio(keys[i], keys[j]) > threshold]
+        assert sorted(tuple(sorted(p)) for p in similarity.alike(keys, None, threshold)) == want
+        assert sorted(similarity.alike(keys[:50], keys[50:], threshold)) == [(i, j - 50) for i, j in want if i < 50 <= j]
+
+
+def test_pairs_of_many_keys_alike_in_language(spark):
+    """Keys of few syllables share most of their trigrams; two thousand of them took minutes when these were joined on."""
+    rng = random.Random(7)
+    keys = ["".join(rng.choice(["er", "en", "ch", "ie", "un", "d ", "st ", "ge"]) for _ in range(rng.randint(40, 100))) for _ in range(1000)]
+    items = spark.createDataFrame([(i, k) for i, k in enumerate(keys)] + [(i + 1000, k + " indeed") for i, k in enumerate(keys)], "pos long, key string")
+    start = time.monotonic()
+    assert {(i, i + 1000) for i in range(1000)} <= {tuple(r) for r in quality.similar_pairs(items).collect()}
+    assert time.monotonic() - start < 60
