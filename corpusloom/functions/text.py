@@ -15,8 +15,10 @@ WS = f"[{SPACES}]"
 NOT_WS = f"[^{SPACES}]"
 #: The same characters one by one.
 SPACE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-WORD = f"{NOT_WS}+"
-ALPHA_WORD = rf"{NOT_WS}*\p{{L}}{NOT_WS}*"
+#: The rest of a word and the white space after it; the first range holds most characters and is tried first.
+REST = rf"(?:[!-~\x{{A1}}-\x{{167F}}]++|{NOT_WS})*+{WS}*+"
+#: A word with its first letter, or a word without letters with its first character. Never reads a character more than twice.
+MARKED_WORD = rf"[^{SPACES}\p{{L}}]*+(\p{{L}}){REST}|({NOT_WS}){REST}"
 PAGE_NUMBER = rf"^{WS}*\p{{Nd}}+{WS}*$"
 CHAPTER_LINE = rf"^{WS}*(Chapter|CHAPTER){WS}+\p{{Nd}}+{WS}*$"
 REFERENCES = rf"\n(References|REFERENCES|Bibliography|BIBLIOGRAPHY){WS}*\n[\s\S]*\z"
@@ -33,8 +35,13 @@ def strip(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """len(str.split())."""
-    return F.regexp_count(text, F.lit(WORD))
+    """len(str.split()). Words are replaced by one character each, as `regexp_count` keeps a list of them all."""
+    return F.octet_length(F.regexp_replace(strip(text), f"{NOT_WS}{REST}", "x"))
+
+
+def has_words(text: Column, least: int) -> Column:
+    """word_count(text) >= least, from one on, read up to that word."""
+    return text.rlike(rf"\A{WS}*+(?:{NOT_WS}++{WS}++){{{least - 1}}}{NOT_WS}")
 
 
 def _nfkd(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -77,8 +84,9 @@ def full_clean(text: Column, remove_references: bool = False, unicode: bool = Tr
 
 def is_meaningful(text: Column, min_words: int = 10) -> Column:
     """At least `min_words` words, over half of which hold a letter."""
-    words = word_count(text)
-    return F.coalesce((words >= min_words) & (2 * F.regexp_count(text, F.lit(ALPHA_WORD)) > words), F.lit(False))
+    marks = F.regexp_replace(strip(text), MARKED_WORD, "$1$2")  # a letter for each word that holds one
+    enough = lambda m: (F.length(m) >= min_words) & (2 * F.length(F.regexp_replace(m, r"\P{L}++", "")) > F.length(m))
+    return F.coalesce(F.get(F.transform(F.array(marks), enough), F.lit(0)), F.lit(False))  # the lambda binds the marks once
 
 
 def sentences(text: Column) -> Column:

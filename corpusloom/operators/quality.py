@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.similarity import alike
-from corpusloom.functions.text import strip, word_count
+from corpusloom.functions.text import has_words, strip
 from corpusloom.operators.lineage import cut
 from corpusloom.session import ship
 
@@ -21,7 +21,7 @@ def _text(name: str) -> Column:
 
 def valid_qa(min_instruction_words: int = 3, min_response_words: int = 10) -> Column:
     q, a = _text("instruction"), _text("response")
-    return (q != "") & (a != "") & (word_count(q) >= min_instruction_words) & (word_count(a) >= min_response_words) & (q != a)
+    return (q != "") & (a != "") & has_words(q, min_instruction_words) & has_words(a, min_response_words) & (q != a)
 
 
 def valid_conversation() -> Column:
@@ -33,12 +33,12 @@ def valid_conversation() -> Column:
 
 def valid_completion(min_words: int = 10) -> Column:
     p, c = _text("prompt"), _text("completion")
-    return (p != "") & (c != "") & (word_count(c) >= min_words)
+    return (p != "") & (c != "") & has_words(c, min_words)
 
 
 def valid_classification(min_words: int = 5) -> Column:
     t, label = _text("text"), _text("label")
-    return (t != "") & (label != "") & (word_count(t) >= min_words)
+    return (t != "") & (label != "") & has_words(t, min_words)
 
 
 VALIDATORS: dict[str, Callable[[], Column]] = {"qa": valid_qa, "conversations": valid_conversation, "completions": valid_completion, "classification": valid_classification}

@@ -1,4 +1,5 @@
 import random
+import time
 import unicodedata
 
 import pytest
@@ -89,3 +90,18 @@ def test_indel_ratio(one):
     assert one(similarity.indel_ratio, "", "") == 100.0
     assert one(similarity.indel_ratio, "abcd", "abed") == 75.0
     assert unicodedata.normalize("NFKD", "é") == "é"
+
+
+def test_words_are_counted_in_one_pass(one):
+    """A word of 200,000 digits was read from each of its characters on to look for a letter."""
+    start = time.monotonic()
+    assert one(lambda t: text.is_meaningful(t, 3), "7" * 200_000 + " a b c d") is True
+    assert one(lambda t: text.is_meaningful(t, 3), "a " + "7" * 200_000 + " 8 b") is False
+    assert one(text.word_count, "\u00e9" * 200_000 + " \U0001f600") == 2
+    assert time.monotonic() - start < 20
+
+
+@pytest.mark.parametrize("least", [1, 2, 10])
+def test_has_words_follows_word_count(one, least):
+    for raw in ("", "  ", "a", "\x1ca\x85", " a  b ", "a b c d e f g h i", "a b c d e f g h i j", "x " * 500):
+        assert one(lambda t: text.has_words(t, least), raw) == (len(raw.split()) >= least)
