@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WS, is_meaningful, strip, word_count
+from corpusloom.functions.text import WS, has_words, is_meaningful, strip
 
 #: Openings that mark a heading whatever its case; fixed values.
 OPENINGS = rf"(?i)^(Scientific Foundations|Practical/Applied|Domain{WS}+\p{{Nd}}|Chapter{WS}+\p{{Nd}}|Section{WS}+\p{{Nd}}|Part{WS}+\p{{Nd}})"
@@ -32,14 +32,13 @@ def is_book_heading(line: Column) -> Column:
 def is_stripped_book_heading(s: Column) -> Column:
     """Cheap tests come first: long lines are ruled out by their length before any pattern, as ten words of a heading
     hold one gap at least."""
-    words = word_count(s)
-    return (F.length(s) >= 3) & (words <= 10) & (s.rlike(OPENINGS) | ((words >= 2) & (is_upper(s) | ((F.length(s) < 60) & is_title(s)))))
+    return (F.length(s) >= 3) & ~has_words(s, 11) & (s.rlike(OPENINGS) | (has_words(s, 2) & (is_upper(s) | ((F.length(s) < 60) & is_title(s)))))
 
 
 def is_page_heading(line: Column) -> Column:
     """For stripped lines of paged documents."""
     numbered = line.rlike(rf"^(Chapter|CHAPTER|Section|SECTION|Part|PART){WS}+\p{{Nd}}+") | line.rlike(rf"^\p{{Nd}}+\.\p{{Nd}}*{WS}+[A-Z]")
-    return (line != "") & (F.length(line) <= 100) & ((is_upper(line) & (word_count(line) <= 8)) | numbered)
+    return (line != "") & (F.length(line) <= 100) & ((is_upper(line) & ~has_words(line, 9)) | numbered)
 
 
 def _marks(lines: Column, heading) -> Column:
@@ -72,7 +71,7 @@ def split_by_headings(docs: DataFrame, text_col: str = "text", min_words: int =
     made = _settled(made, "__marks", _marks(F.transform("__lines", strip), is_stripped_book_heading))
     made = made.select(*docs.columns, F.posexplode(_slices(F.col("__lines"), F.col("__marks"))).alias("section_pos", "__s"))
     made = _settled(made.withColumn("title", F.coalesce(strip(F.col("__s")["title"]), F.lit("Untitled Section"))), "section_text", strip(F.array_join(F.col("__s")["body"], "\n")))
-    return made.filter(word_count(F.col("section_text")) >= min_words).drop("__s")
+    return made.filter(has_words(F.col("section_text"), min_words)).drop("__s")
 
 
 def page_sections(pages: DataFrame, doc_col: str, page_col: str, text_col: str) -> DataFrame:
