@@ -6,6 +6,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,15 +45,19 @@ def has_words(text: Column, least: int) -> Column:
     return text.rlike(rf"\A{WS}*+(?:{NOT_WS}++{WS}++){{{least - 1}}}{NOT_WS}")
 
 
-def _nfkd(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _nfkd(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Some texts at a time, so that a batch isn't held as Python strings."""
     for texts in batches:
-        yield texts.map(lambda t: unicodedata.normalize("NFKD", t) if isinstance(t, str) else None).astype("object")
+        parts = []
+        for lo in range(0, max(1, len(texts)), 64):
+            parts.append(pa.array([None if t is None else unicodedata.normalize("NFKD", t) for t in texts.slice(lo, 64).to_pylist()], pa.string()))
+        yield pa.concat_arrays(parts)
 
 
 def normalize_unicode(text: Column) -> Column:
     """NFKD, then plain quotes, dashes, dots and spaces. Rows in plain ASCII are left alone by definition."""
     ascii = F.octet_length(text) == F.length(text)
-    out = F.pandas_udf(_nfkd, "string")(F.when(~ascii, text))  # Python gets a null in place of plain ASCII
+    out = F.arrow_udf(_nfkd, "string")(F.when(~ascii, text))  # Python gets a null in place of plain ASCII
     for mark, plain in PLAIN.items():
         out = F.replace(out, F.lit(mark), F.lit(plain))
     return F.when(ascii, text).otherwise(out)
@@ -82,11 +87,20 @@ def full_clean(text: Column, remove_references: bool = False, unicode: bool = Tr
     return clean_whitespace(remove_references_section(out) if remove_references else out)
 
 
+def marked_words(text: Column) -> Column:
+    """A character for each word: a letter of a word that holds one, else its first character."""
+    return F.regexp_replace(strip(text), MARKED_WORD, "$1$2")
+
+
+def meaningful_marks(marks: Column, min_words: int = 10) -> Column:
+    """`is_meaningful` of the text whose `marked_words` these are."""
+    return F.coalesce((F.length(marks) >= min_words) & (2 * F.length(F.regexp_replace(marks, r"\P{L}++", "")) > F.length(marks)), F.lit(False))
+
+
 def is_meaningful(text: Column, min_words: int = 10) -> Column:
     """At least `min_words` words, over half of which hold a letter."""
-    marks = F.regexp_replace(strip(text), MARKED_WORD, "$1$2")  # a letter for each word that holds one
-    enough = lambda m: (F.length(m) >= min_words) & (2 * F.length(F.regexp_replace(m, r"\P{L}++", "")) > F.length(m))
-    return F.coalesce(F.get(F.transform(F.array(marks), enough), F.lit(0)), F.lit(False))  # the lambda binds the marks once
+    # the lambda binds the marks, so that a filter makes them once
+    return F.get(F.transform(F.array(marked_words(text)), lambda m: meaningful_marks(m, min_words)), F.lit(0))
 
 
 def sentences(text: Column) -> Column:

@@ -1,7 +1,9 @@
 import random
 import time
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +107,14 @@ def test_words_are_counted_in_one_pass(one):
 def test_has_words_follows_word_count(one, least):
     for raw in ("", "  ", "a", "\x1ca\x85", " a  b ", "a b c d e f g h i", "a b c d e f g h i j", "x " * 500):
         assert one(lambda t: text.has_words(t, least), raw) == (len(raw.split()) >= least)
+
+
+def test_normalisation_holds_few_texts_at_once():
+    """The whole batch was held as Python strings, twice."""
+    batch = pa.array(["é" * 20_000] * 2_000)
+    tracemalloc.start()
+    (out,) = text._nfkd(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 2_000 and out[0].as_py() == "é" * 20_000 and peak < 20_000_000
+    assert text._nfkd(iter([pa.array([None, "ﬁ"])])).__next__().to_pylist() == [None, "fi"]
