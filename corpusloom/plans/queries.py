@@ -133,7 +133,8 @@ def normalize_unicode(spark, sf_dir):
 def meaningful_text(spark, sf_dir):
     """Whole texts; numbers between the words of every third one make most of its words hold no letter."""
     raw = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit(" "), F.lit(" 7 7 "))).otherwise(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", *[e.cast("long").alias(n) for n, e in (("words", text.word_count(raw)), ("meaningful", text.is_meaningful(raw)), ("meaningful_5", text.is_meaningful(raw, 5)))])
+    marked = _docs(spark, sf_dir).select("doc_id", F.explode(F.array(text.marked_words(raw))).alias("marks"))  # made once
+    return marked.select("doc_id", F.length("marks").cast("long").alias("words"), *[text.meaningful_marks(F.col("marks"), least).cast("long").alias(n) for n, least in (("meaningful", 10), ("meaningful_5", 5))])
 
 
 def sentence_split(spark, sf_dir):
